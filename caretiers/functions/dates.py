@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import datetime
+import itertools
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,21 +49,43 @@ def age_in_years(birth_date: Column, as_of: Column) -> Column:
     return F.floor(F.datediff(as_of, birth_date) / 365).cast("long")
 
 
-def datediff(start: Column, end: Column, days_to_ignore: Column | None = None) -> Column:
+def datediff(
+    start: Column, end: Column, days_to_ignore: Column | Sequence[datetime.date] | None = None
+) -> Column:
     """Days from start to end.
 
-    With ``days_to_ignore`` (an array of dates): the days of the closed interval that are not in
-    the array, minus one and never below 0. A null array ignores nothing; a null date gives null.
-    The ignored days inside the interval are counted, so the interval itself is never built.
+    With ``days_to_ignore`` (a column of date arrays, or a list of dates for all rows): the days of
+    the closed interval that are not ignored, minus one and never below 0. A null array ignores
+    nothing; a null date gives null. Only the ignored days are looked at; the days of the interval
+    are never listed.
     """
     days = F.datediff(end, start)
     if days_to_ignore is None:
         return days
-    inside = F.filter(F.array_distinct(days_to_ignore), lambda day: (day >= start) & (day <= end))
-    ignored = F.coalesce(F.array_size(inside), F.lit(0))
+    if isinstance(days_to_ignore, Column):
+        inside = F.filter(F.array_distinct(days_to_ignore), lambda day: (day >= start) & (day <= end))
+        ignored = F.coalesce(F.array_size(inside), F.lit(0))
+    else:
+        ignored = _listed_days(days_to_ignore, end) - _listed_days(days_to_ignore, F.date_sub(start, 1))
     return F.when(start.isNotNull() & end.isNotNull(), F.greatest(days - ignored, F.lit(0)))
 
 
+def _listed_days(listed: Sequence[datetime.date], until: Column) -> Column:
+    """How many of the listed days are not after ``until``: one lookup by day number.
+
+    The running counts from the first to the last listed day are a constant of the plan.
+    """
+    ordered = sorted(set(listed))
+    if not ordered:
+        return F.lit(0)
+    span = (ordered[-1] - ordered[0]).days + 1
+    is_listed = {(day - ordered[0]).days for day in ordered}
+    counts = itertools.accumulate((day in is_listed for day in range(span)), initial=0)
+    table = F.split(F.lit(",".join(str(int(count)) for count in counts)), ",").cast("array<int>")
+    position = F.datediff(until, F.lit(ordered[0])) + 1
+    return F.get(table, F.greatest(F.least(position, F.lit(span)), F.lit(0)))
+
+
 def convert_int_expr_to_date(column: Column) -> Column:
     """Eight digits ``yyyymmdd``, as number or text, to a date; null for anything else."""
     text = column.cast("string")

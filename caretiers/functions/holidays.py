@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,14 +78,11 @@ def holiday_calendar(spark: SparkSession, end_year: int, start_year: int = 2000)
     return years.select(F.inline(holidays_of_year(F.col("year"))))
 
 
-def get_finnish_holidays(end_year: int, start_year: int = 2000, include_eves: bool = True) -> Column:
-    """The holiday dates as an array of dates, to be given to ``datediff``.
-
-    All inputs are literals, so the optimiser computes the array once, not per row.
-    """
-    _check_years(start_year, end_year)
-    years = F.sequence(F.lit(start_year), F.lit(end_year))
-    days = F.flatten(F.transform(years, holidays_of_year))
+def get_finnish_holidays(
+    spark: SparkSession, end_year: int, start_year: int = 2000, include_eves: bool = True
+) -> list[datetime.date]:
+    """The holiday dates as a list (some 15 a year), to be given to ``datediff``."""
+    calendar = holiday_calendar(spark, end_year, start_year)
     if not include_eves:
-        days = F.filter(days, lambda day: ~day.is_eve)
-    return F.array_distinct(F.transform(days, lambda day: day.date))
+        calendar = calendar.where("not is_eve")
+    return [row[0] for row in calendar.select("date").distinct().orderBy("date").collect()]

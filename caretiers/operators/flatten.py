@@ -105,18 +105,22 @@ def flatten_condition(bronze: DataFrame | TypedDataFrame) -> DataFrame:
             "asserter_display": ("asserter.display", "string"),
         },
     )
-    category = fhir.extract_category_from_list(F.col("category"))
-    coding = fhir.extract_first_coding(F.col("concept"))
+    fields = fields.withColumns(
+        {
+            "category_coding": fhir.extract_category_from_list(F.col("category")),
+            "coding": fhir.extract_first_coding(F.col("concept")),
+        }
+    )
     return _contract(
         fields,
         C.Condition,
         {
             "patient_id": fhir.extract_reference_id(F.col("subject_reference")),
-            "category_code": category.code,
-            "category_display": category.display,
-            "code_system": coding.system,
-            "code": coding.code,
-            "code_display": coding.display,
+            "category_code": F.col("category_coding.code"),
+            "category_display": F.col("category_coding.display"),
+            "code_system": F.col("coding.system"),
+            "code": F.col("coding.code"),
+            "code_display": F.col("coding.display"),
             # Empty text is kept here, unlike in observations.
             "code_text": F.col("concept.text"),
             "onset_date": F.coalesce("onset", "onset_extra"),
@@ -208,15 +212,20 @@ def flatten_observation(bronze: DataFrame | TypedDataFrame) -> DataFrame:
         }
         | {name: (name, ddl) for name, ddl in _VALUES.items()},
     )
-    lists = ["category", "performer", "component"]
+    concept, categories = F.col("concept"), F.col("category")
+    # What is used by several columns is derived once.
     fields = fields.withColumns(
-        {name: fhir.iter_dict_list(F.col(name)) for name in lists} | {"reference": fhir.non_empty(F.col("reference"))}
-    )
-    concept, categories, performers = F.col("concept"), F.col("category"), F.col("performer")
-    coding = fhir.extract_first_coding(concept)
-    category = fhir.first(categories)
-    category_coding = fhir.extract_first_coding(category)
-    references = F.array_compact(F.transform(performers, fhir.extract_reference))
+        {
+            "category": fhir.iter_dict_list(categories),
+            "component": fhir.iter_dict_list(F.col("component")),
+            "coding": fhir.extract_first_coding(concept),
+            "reference": fhir.non_empty(F.col("reference")),
+            "performer_references": F.array_compact(
+                F.transform(fhir.iter_dict_list(F.col("performer")), fhir.extract_reference)
+            ),
+        }
+    ).withColumn("category_coding", fhir.extract_first_coding(fhir.first(categories)))
+    coding, category_coding = F.col("coding"), F.col("category_coding")
     return _contract(
         fields,
         C.Observation,
@@ -226,7 +235,7 @@ def flatten_observation(bronze: DataFrame | TypedDataFrame) -> DataFrame:
             "effective_datetime": effective_datetime(
                 [F.col("at"), F.col("at_instant"), F.col("at_time")], F.col("period_start"), F.col("period_end")
             ),
-            "category_text": fhir.extract_code_text(category),
+            "category_text": fhir.extract_code_text(fhir.first(categories)),
             "category_system": category_coding.system,
             "category_code": category_coding.code,
             "category_display": category_coding.display,
@@ -234,8 +243,7 @@ def flatten_observation(bronze: DataFrame | TypedDataFrame) -> DataFrame:
             "code_system": coding.system,
             "code_code": coding.code,
             "code_display": coding.display,
-            "performer_references": references,
-            "performer_ids": F.array_compact(F.transform(references, fhir.extract_reference_id)),
+            "performer_ids": F.array_compact(F.transform("performer_references", fhir.extract_reference_id)),
             "code_codings": fhir.iter_codings(concept),
             "category_codings": category_codings(categories),
             "components": F.transform(F.col("component"), _component_row),

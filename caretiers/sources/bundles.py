@@ -44,7 +44,9 @@ def explode_entries(bundles: DataFrame) -> DataFrame:
     Entries without a resource type are left out. A resource that itself has a field named like a
     lineage column keeps its own value.
     """
-    entries = bundles.select("source_file", F.col("id").alias("bundle_id"), F.explode("entry").alias("entry"))
+    # The outer form, because the optimiser filters on the array before a plain explode, and
+    # would parse bundles held as text once more for that. The empty rows have no type.
+    entries = bundles.select("source_file", F.col("id").alias("bundle_id"), F.explode_outer("entry").alias("entry"))
     resource = F.col("entry.resource")
     typed = entries.select(
         "source_file",

@@ -197,14 +197,14 @@ shipment AS (
 DIRTY = """
 dirty AS (
   SELECT c_custkey, c_acctbal,
-         CASE c_custkey % 4 WHEN 0 THEN '  ' || c_name || ' ' WHEN 1 THEN chr(9) || chr(10) || c_name || '  '
+         CASE c_custkey % 4 WHEN 0 THEN '  ' || c_name || ' ' WHEN 1 THEN chr(9) || chr(10) || c_name || chr(160) || chr(8195)
               WHEN 2 THEN '   ' ELSE c_name END AS c_name,
          CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment END AS c_mktsegment
   FROM customer
 )"""
 
-# Space, tab and line breaks are the only white space in the tables.
-TRIMMED = "trim({}, ' ' || chr(9) || chr(10) || chr(13))"
+# The white space that occurs in the tables or is added above.
+TRIMMED = "trim({}, ' ' || chr(9) || chr(10) || chr(13) || chr(160) || chr(8195))"
 
 
 def _select(columns: str, *ctes: str, source: str = "", tail: str = "") -> str:

@@ -17,7 +17,7 @@ from caretiers.operators.flatten import flatten_condition, flatten_observation,
 from caretiers.operators.validation import is_finite, validate_condition, validate_observation, validate_patient
 from caretiers.plans import gold, reports
 from caretiers.sources import bundles, parquet, tables
-from workload.bundles import condition_bundles, every, observation_bundles, patient_bundles, table
+from workload.bundles import condition_bundles, every, observation_bundles, patient_bundles, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -344,7 +344,7 @@ def _dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.col("c_name")
     padded = (
         F.when(every("c_custkey", 4), F.concat(F.lit("  "), name, F.lit(" ")))
-        .when(every("c_custkey", 4, 1), F.concat(F.lit("\t\n"), name, F.lit("  ")))
+        .when(every("c_custkey", 4, 1), F.concat(F.lit("\t\n"), name, F.lit("\u00a0\u2003")))
         .when(every("c_custkey", 4, 2), F.lit("   "))
         .otherwise(name)
     )
@@ -428,7 +428,7 @@ def datediff_business(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def datediff_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = dates.datediff(F.col("start"), F.col("end"), holidays.get_finnish_holidays(2002, 1994))
+    days = dates.datediff(F.col("start"), F.col("end"), holidays.get_finnish_holidays(spark, 2002, 1994))
     return _shipments(spark, sf_dir).select("l_orderkey", "l_linenumber", days.alias("days"))
 
 
@@ -482,9 +482,9 @@ def typed_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def typed_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    left, right = Order.from_df(orders), Order.from_df(orders)
+    left, right = Order.from_df(orders.drop("o_orderstatus"), validate=False), Order.from_df(orders.drop("o_custkey"), validate=False)
     return left.join(right, on=Order.o_orderkey, how="inner").select(
-        "o_orderkey", left.o_custkey.alias("left_custkey"), right.o_orderstatus.alias("right_status")
+        Order.o_orderkey, Order.o_custkey.alias("left_custkey"), Order.o_orderstatus.alias("right_status")
     )
 
 
