@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.variant.writeShredding.enabled": "true",
     "spark.sql.variant.inferShreddingSchema": "true",
     "spark.sql.variant.pushVariantIntoScan": "true",
+    # The JVM does not compile methods over 8000 bytes of bytecode. A stage that would need one
+    # (many JSON fields in one projection) is better run operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # One small file per bundle is common: pack many of them into a task.
     "spark.sql.files.openCostInBytes": "262144",
 }

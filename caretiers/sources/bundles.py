@@ -38,6 +38,11 @@ def parse_bundles(df: DataFrame, text: str = "bundle", source_file: str = "sourc
     return df.select(F.col(source_file).alias("source_file"), bundle.alias("bundle")).select("source_file", "bundle.*")
 
 
+def table_name(resource_type: Column) -> Column:
+    """Bronze table of a resource type: lower case, with _ for what a table name cannot hold."""
+    return F.regexp_replace(F.lower(resource_type), "[^a-z0-9_]", "_")
+
+
 def explode_entries(bundles: DataFrame) -> DataFrame:
     """Bronze rows of all bundles: ``bronze_table``, lineage and the resource.
 
@@ -56,13 +61,16 @@ def explode_entries(bundles: DataFrame) -> DataFrame:
         F.try_variant_get(resource, "$.resourceType", "string").alias("resource_type"),
     ).where("resource_type <> ''")
 
+    own_fields = "struct<" + ",".join(f"{name}:variant" for name in LINEAGE) + ">"
+    typed = typed.withColumn("own", F.try_variant_get("resource", "$", own_fields))
+
     def lineage(name: str, given: str) -> Column:
-        own = F.try_variant_get("resource", f"$.{name}", "variant")
-        return F.when(own.isNotNull(), F.try_variant_get(own, "$", "string")).otherwise(F.col(given)).alias(name)
+        own = F.col("own")[name]
+        return F.when(own.isNull(), F.col(given)).otherwise(F.try_variant_get(own, "$", "string")).alias(name)
 
     given = ["source_file", "bundle_id", "full_url"]
     return typed.select(
-        F.lower("resource_type").alias("bronze_table"),
+        table_name(F.col("resource_type")).alias("bronze_table"),
         *[lineage(name, column) for name, column in zip(LINEAGE, given, strict=True)],
         "resource",
     )
@@ -78,7 +86,7 @@ load_bronze_bundle_file = load_bronze_bundles
 
 def of_type(entries: DataFrame, resource_type: str) -> DataFrame:
     """Bronze rows of one resource type."""
-    return entries.where(F.col("bronze_table") == resource_type.lower()).drop("bronze_table")
+    return entries.where(F.col("bronze_table") == table_name(F.lit(resource_type))).drop("bronze_table")
 
 
 def frames_by_type(entries: DataFrame) -> dict[str, DataFrame]:

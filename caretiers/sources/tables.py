@@ -55,13 +55,6 @@ def sample_table(spark: SparkSession, schema: str, table: str, rows: int = 10) -
     return spark.table(quote(schema, table)).limit(rows)
 
 
-def _partition_directory(column: str, value: str) -> str:
-    """Directory Spark writes for a partition value."""
-    # The characters Spark percent-encodes in partition directories.
-    special = set('"#%\'*/:=?\\{[]^\x7f') | {chr(c) for c in range(0x20)}
-    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in special else c for c in value)
-
-
 class Warehouse:
     """The layers' tables as Parquet directories under ``root``, registered in the catalog.
 
@@ -129,7 +122,7 @@ class Warehouse:
     def _register_bronze(self) -> None:
         stored = self.spark.read.schema(f"{BRONZE}, bronze_table string").parquet(self._bronze_root)
         for row in stored.select("bronze_table").distinct().collect():
-            path = f"{self._bronze_root}/{_partition_directory('bronze_table', row[0])}"
+            path = f"{self._bronze_root}/bronze_table={row[0]}"
             self._register(Schema.BRONZE, row[0], stored.drop("bronze_table").schema, path)
 
     def _register(self, schema: str, table: str, columns: StructType, path: str) -> None:
