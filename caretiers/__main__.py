@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit -m caretiers <bundles> [--db ROOT] [--debug]``."""
+"""Command line: ``python -m caretiers <bundles> [--db ROOT] [--lines] [--debug]``."""
 
 from __future__ import annotations
 

@@ -7,6 +7,8 @@ structs ``read`` returns.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -101,6 +103,16 @@ def extract_from_name_list(names: Column, field: str) -> Column:
     return extract_field_from_list(names, field, " ")
 
 
+def extract_extension_value(extensions: Column, url: str, path: Sequence[str | int], ddl: str = "string") -> Column:
+    """Value at a path of keys and list positions in the first extension with this url.
+
+    ``extensions`` is an ``array<variant>``.
+    """
+    found = first(F.filter(extensions, lambda extension: F.try_variant_get(extension, "$.url", "string") == url))
+    steps = [f"[{step}]" if isinstance(step, int) else f".{step}" for step in path]
+    return F.try_variant_get(found, "$" + "".join(steps), ddl)
+
+
 def extract_extension_code(extensions: Column, url: str) -> Column:
     """First code of the first extension with this url that has any coding."""
     codings = F.transform(

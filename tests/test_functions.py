@@ -120,3 +120,17 @@ def test_reference_ids(spark):
     }
     df = spark.createDataFrame([(c,) for c in cases], "r string")
     assert values(df, fhir.extract_reference_id(df.r)) == list(cases.values())
+
+
+def test_extension_values(resources):
+    text = '{"extension":["x",{"url":"v"},{"url":"u","a":{"b":[{"c":1},{"c":2}]}},{"url":"u","d":5}]}'
+    df = resources(text, "{}")
+    extensions = fhir.read(df.resource, "extension", "array<variant>")
+
+    def found(*path, ddl="string"):
+        return values(df, fhir.extract_extension_value(extensions, "u", path, ddl))
+
+    assert found("a", "b", 1, "c", ddl="bigint") == [2, None]
+    assert found("a", "b", 7, "c") == [None, None]
+    assert found("a", 0) == [None, None]
+    assert found("d") == [None, None]

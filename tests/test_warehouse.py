@@ -3,6 +3,7 @@ import json
 
 import pytest
 
+from caretiers.__main__ import main
 from caretiers.plans.pipeline import run_bronze, run_gold, run_pipeline, run_silver, save_silver_tables
 from caretiers.sources import tables
 from caretiers.sources.tables import Warehouse
@@ -107,3 +108,9 @@ def test_stored_silver_equals_the_plan(warehouse, bundle_dir):
     silver = run_silver(warehouse)
     stored = save_silver_tables(warehouse, silver)
     assert sorted(map(str, stored.observation.collect())) == sorted(map(str, silver.observation.collect()))
+
+
+def test_missing_input_ends_with_a_message(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("sys.argv", ["caretiers", str(tmp_path / "nowhere"), "--db", str(tmp_path / "db")])
+    with pytest.raises(SystemExit, match="input does not exist"):
+        main()
