@@ -136,6 +136,18 @@ def float_value(value: Column) -> Column:
     return F.when(is_text, from_text).otherwise(F.try_variant_get(value, "$", "double"))
 
 
-def exact(value: Column, json_type: str, ddl: str) -> Column:
-    """The value if the JSON type is exactly ``json_type``; a plain variant cast is lenient."""
-    return F.when(F.schema_of_variant(value) == json_type, F.try_variant_get(value, "$", ddl))
+def boolean_value(value: Column) -> Column:
+    """A JSON boolean; a plain variant cast would also take numbers and text."""
+    return F.when(F.schema_of_variant(value) == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
+
+
+def integer_value(value: Column) -> Column:
+    """A JSON number without a fraction; a plain variant cast would also take fractions and text.
+
+    3.0 counts as 3: a column of a stored variant that holds both whole numbers and fractions has
+    one decimal type, so the two cannot be told apart.
+    """
+    number_type = F.schema_of_variant(value)
+    whole = F.try_variant_get(value, "$", "bigint")
+    no_fraction = F.try_variant_get(value, "$", "decimal(38,18)") == whole
+    return F.when((number_type == "BIGINT") | (number_type.startswith("DECIMAL") & no_fraction), whole)

@@ -25,13 +25,23 @@ def easter_sunday(year: Column) -> Column:
     return F.next_day(full_moon, "Sun")
 
 
-def holidays_of_year(year: Column) -> Column:
-    """Array of (date, name, is_eve) of one year.
+def holidays_of_years(years: DataFrame) -> DataFrame:
+    """The holidays (``date``, ``name``, ``is_eve``) of each ``year`` in a frame.
+
+    Two holidays may share a date.
+    """
+    # Easter is a column of its own, so that it is computed once for all days that depend on it.
+    dated = years.select(F.col("year").cast("int").alias("year"))
+    dated = dated.select("year", easter_sunday(F.col("year")).alias("easter"))
+    return dated.select(F.inline(_holidays(F.col("year"), F.col("easter"))))
+
+
+def _holidays(year: Column, easter: Column) -> Column:
+    """Array of (date, name, is_eve).
 
     Midsummer and All Saints' Day are Saturdays since 1955. From 1973 to 1990 Epiphany and
     Ascension Day were moved to a Saturday.
     """
-    easter = easter_sunday(year)
 
     def fixed(month: int, day: int) -> Column:
         return F.make_date(year, F.lit(month), F.lit(day))
@@ -72,10 +82,9 @@ def _check_years(start_year: int, end_year: int) -> None:
 
 
 def holiday_calendar(spark: SparkSession, end_year: int, start_year: int = 2000) -> DataFrame:
-    """One row per holiday. Two holidays may share a date."""
+    """The holidays from one year to another, as a table."""
     _check_years(start_year, end_year)
-    years = spark.range(start_year, end_year + 1).select(F.col("id").cast("int").alias("year"))
-    return years.select(F.inline(holidays_of_year(F.col("year"))))
+    return holidays_of_years(spark.range(start_year, end_year + 1).toDF("year"))
 
 
 def get_finnish_holidays(

@@ -156,8 +156,8 @@ def value_columns(field: Callable[[str], Column]) -> dict[str, Column]:
         "value_codeable_concept_code": coding.code,
         "value_codeable_concept_display": coding.display,
         "value_string": field("valueString"),
-        "value_boolean": fhir.exact(field("valueBoolean"), "BOOLEAN", "boolean"),
-        "value_integer": fhir.exact(field("valueInteger"), "BIGINT", "bigint"),
+        "value_boolean": fhir.boolean_value(field("valueBoolean")),
+        "value_integer": fhir.integer_value(field("valueInteger")),
         "value_datetime": field("valueDateTime"),
     }
 

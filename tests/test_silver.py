@@ -96,7 +96,7 @@ def test_value_precedence_and_exact_types(resources):
         {"valueQuantity": [], "valueString": ""},
         {"valueBoolean": False, "valueInteger": 3},
         {"valueBoolean": "true"},
-        {"valueInteger": 3.0},
+        {"valueInteger": 3.5},
         {"valueInteger": "3"},
         {"valueDateTime": "2020"},
         {"valueBoolean": None},
@@ -118,6 +118,12 @@ def test_value_precedence_and_exact_types(resources):
     ]
 
 
+def test_whole_numbers(resources):
+    values = [9223372036854775807, -1, 3.0, 3.25, 1e3, 99999999999999999999, "3", True, None]
+    found = [row["value_integer"] for row in observe(resources, *[{"valueInteger": v} for v in values])]
+    assert found == [9223372036854775807, -1, 3, None, 1000, None, None, None, None]
+
+
 def test_quantity_values(resources):
     values = [1, 1.5, "120.5", " 7 ", "1e3", "1_000", "x", "12d", "0x10", "", None, [1], {"a": 1}, "-.5", "5.", True]
     found = [row["value_quantity_value"] for row in observe(resources, *[{"valueQuantity": {"value": v}} for v in values])]

@@ -4,8 +4,10 @@ import json
 import pytest
 
 from caretiers.__main__ import main
+from caretiers.operators.flatten import flatten_condition, flatten_observation, flatten_patient
 from caretiers.plans.pipeline import run_bronze, run_gold, run_pipeline, run_silver, save_silver_tables
 from caretiers.sources import tables
+from caretiers.sources.bundles import explode_entries, of_type, parse_bundles
 from caretiers.sources.tables import Warehouse
 
 
@@ -110,6 +112,29 @@ def test_stored_silver_equals_the_plan(warehouse, bundle_dir):
     assert sorted(map(str, stored.observation.collect())) == sorted(map(str, silver.observation.collect()))
 
 
+def test_stored_bronze_gives_the_rows_of_the_json(spark, warehouse):
+    """Reading fields from shredded Parquet, with values of mixed JSON types, as from the parsed text."""
+    odd = [
+        {"valueQuantity": {"value": 1}}, {"valueQuantity": {"value": "2"}}, {"valueQuantity": {"value": 2.50}}, {"valueQuantity": []},
+        {"valueQuantity": {"value": True}, "valueBoolean": "true"}, {"valueBoolean": True}, {"valueInteger": 3.5}, {"valueInteger": 3},
+        {"category": ["x", None, {"coding": [3, {"code": "a"}]}], "performer": {"reference": "P/1"}, "code": "text"},
+        {"component": [None, 7, {"valueString": "s"}, {"code": {"text": "t"}, "valueQuantity": {"value": "Infinity"}}]},
+        {"subject": "P/1", "effectivePeriod": {"start": None, "end": "e"}, "status": 5}, {"subject": {"reference": 7}, "id": None},
+        {"name": [{"given": ["A", None, 3]}, {"given": "B"}], "address": [{"line": "one line"}], "telecom": [{"system": "phone", "value": 5}]},
+        {"name": {"family": "no list"}, "extension": [{"url": 1}, None], "_onsetDateTime": {"value": "2020-01-01"}},
+        {"name": ["x", {"family": ["F", "G"]}], "birthDate": 2000, "identifier": [[], {"system": "s"}]},
+    ]
+    flatten = {"Patient": flatten_patient, "Condition": flatten_condition, "Observation": flatten_observation}
+    entry = [{"resource": {"resourceType": t, "id": f"{i}"} | fields} for t in flatten for i, fields in enumerate(odd * 20)]
+    text = spark.createDataFrame([("f", json.dumps({"id": "b", "entry": entry}))], "source_file string, bundle string")
+    entries = explode_entries(parse_bundles(text))
+    warehouse.write_bronze(entries)
+    for resource_type, function in flatten.items():
+        expected = sorted(map(str, function(of_type(entries, resource_type)).collect()))
+        assert len(expected) == len(odd) * 20
+        assert sorted(map(str, function(warehouse.bronze(resource_type)).collect())) == expected
+
+
 def test_missing_input_ends_with_a_message(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("sys.argv", ["caretiers", str(tmp_path / "nowhere"), "--db", str(tmp_path / "db")])
     with pytest.raises(SystemExit, match="input does not exist"):

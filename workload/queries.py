@@ -437,7 +437,7 @@ def holiday_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders on each Finnish holiday of the years that have orders."""
     per_day = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n"))
     years = per_day.select(F.year("day").alias("year")).distinct()
-    calendar = years.select(F.inline(holidays.holidays_of_year(F.col("year"))))
+    calendar = holidays.holidays_of_years(years)
     return calendar.join(per_day, F.col("date") == F.col("day"), "left").select(
         "date", "name", "is_eve", F.coalesce("n", F.lit(0)).alias("orders")
     )
