@@ -43,16 +43,14 @@ def as_resources(bronze: DataFrame | TypedDataFrame) -> DataFrame:
 
 
 def _read_fields(bronze: DataFrame | TypedDataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
-    read = [fhir.read(F.col("resource"), path, ddl).alias(name) for name, (path, ddl) in fields.items()]
-    return as_resources(bronze).select(
-        F.col("_source_file").alias("source_file"), F.col("_source_bundle").alias("source_bundle"), *read
-    )
+    read = [f"try_variant_get(resource, '$.{path}', '{ddl}') AS {name}" for name, (path, ddl) in fields.items()]
+    return as_resources(bronze).selectExpr("_source_file AS source_file", "_source_bundle AS source_bundle", *read)
 
 
 def _contract(df: DataFrame, contract: type[TypedDataFrame], columns: dict[str, Column]) -> DataFrame:
-    """Exactly the columns of the contract (but its validation errors), in its order and types."""
-    fields = [field for field in contract.as_spark_schema().fields if field.name != "validation_errors"]
-    return df.select(*[columns.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in fields])
+    """Exactly the columns of the contract (but its validation errors), in its order."""
+    names = [name for name in contract.as_spark_schema().names if name != "validation_errors"]
+    return df.select(*[columns[name].alias(name) if name in columns else name for name in names])
 
 
 def flatten_patient(bronze: DataFrame | TypedDataFrame) -> DataFrame:
@@ -247,7 +245,7 @@ def flatten_observation(bronze: DataFrame | TypedDataFrame) -> DataFrame:
             "code_codings": fhir.iter_codings(concept),
             "category_codings": category_codings(categories),
             "components": F.transform(F.col("component"), _component_row),
-            "component_count": F.size("component"),
+            "component_count": F.size("component").cast("long"),
         }
         | value_columns(F.col),
     )

@@ -91,7 +91,8 @@ def is_finite(column: Column) -> Column:
 
 def failed_rules(rules: Sequence[Rule]) -> Column:
     """Array of the names of the broken rules, in rule order."""
-    return F.array_compact(F.array(*[F.when(~F.expr(rule.check), F.lit(rule.name)) for rule in rules]))
+    failed = ", ".join(f"CASE WHEN NOT ({rule.check}) THEN '{rule.name}' END" for rule in rules)
+    return F.expr(f"array_compact(array({failed}))")
 
 
 def with_validation_errors(df: DataFrame | TypedDataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -7,17 +7,16 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caretiers.functions import fhir
 from caretiers.typed import TypedDataFrame, plain
 
 Frame = DataFrame | TypedDataFrame
 
 
-def _present(**columns: str) -> dict[str, Column]:
-    return {name: F.col(column).isNotNull() for name, column in columns.items()}
+def _present(**columns: str) -> dict[str, str]:
+    return {name: f"{column} IS NOT NULL" for name, column in columns.items()}
 
 
-def _patient_fields() -> dict[str, Column]:
+def _patient_fields() -> dict[str, str]:
     return _present(
         with_family_name="family_name",
         with_given_names="given_names",
@@ -29,7 +28,7 @@ def _patient_fields() -> dict[str, Column]:
     )
 
 
-def _condition_fields() -> dict[str, Column]:
+def _condition_fields() -> dict[str, str]:
     return _present(
         with_patient_id="patient_id",
         with_code="code",
@@ -39,7 +38,7 @@ def _condition_fields() -> dict[str, Column]:
     )
 
 
-def _observation_fields() -> dict[str, Column]:
+def _observation_fields() -> dict[str, str]:
     fields = _present(
         with_status="status",
         with_subject="subject_reference",
@@ -48,18 +47,24 @@ def _observation_fields() -> dict[str, Column]:
         with_value="value_type",
     )
     return fields | {
-        "with_components": F.col("component_count") > 0,
-        "with_performers": F.size("performer_references") > 0,
+        "with_components": "component_count > 0",
+        "with_performers": "size(performer_references) > 0",
     }
 
 
-def _json_fields(**paths: str) -> dict[str, Column]:
-    return {name: fhir.is_present(fhir.read(F.col("resource"), path, "variant")) for name, path in paths.items()}
+def _json_fields(**paths: str) -> dict[str, str]:
+    # A JSON null is a variant, not an SQL null.
+    field = "try_variant_get(resource, '$.{0}', 'variant')"
+    present = f"{field} IS NOT NULL AND NOT is_variant_null({field})"
+    return {name: present.format(path) for name, path in paths.items()}
 
 
-def _summary(df: Frame, total: str, fields: Mapping[str, Column]) -> DataFrame:
-    counts = [F.count_if(condition).alias(name) for name, condition in fields.items()]
-    return plain(df).agg(F.count("*").alias(total), *counts)
+def _counts(fields: Mapping[str, str]) -> list[Column]:
+    return [F.expr(f"count_if({condition}) AS {name}") for name, condition in fields.items()]
+
+
+def _summary(df: Frame, total: str, fields: Mapping[str, str]) -> DataFrame:
+    return plain(df).agg(F.count("*").alias(total), *_counts(fields))
 
 
 def patient_summary(patients: Frame) -> DataFrame:
@@ -122,14 +127,14 @@ def validation_summary(validated: Frame) -> DataFrame:
     return errors.groupBy("error").agg(F.count("*").alias("count")).orderBy(F.desc("count"), "error")
 
 
-def _report(validated: Frame, total: str, fields: Mapping[str, Column]) -> DataFrame:
+def _report(validated: Frame, total: str, fields: Mapping[str, str]) -> DataFrame:
     # Rows that break the same rules are counted together; there are few such combinations, so
     # everything after the first grouping is small.
     field_names = list(fields)
     combinations = (
         plain(validated)
         .groupBy("validation_errors")
-        .agg(F.count("*").alias("n"), *[F.count_if(condition).alias(name) for name, condition in fields.items()])
+        .agg(F.count("*").alias("n"), *_counts(fields))
     )
     # One line per combination for the totals (no error), and one per broken rule.
     lines = combinations.select(

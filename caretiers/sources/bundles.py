@@ -51,28 +51,21 @@ def explode_entries(bundles: DataFrame) -> DataFrame:
     """
     # The outer form, because the optimiser filters on the array before a plain explode, and
     # would parse bundles held as text once more for that. The empty rows have no type.
-    entries = bundles.select("source_file", F.col("id").alias("bundle_id"), F.explode_outer("entry").alias("entry"))
-    resource = F.col("entry.resource")
-    typed = entries.select(
+    entries = bundles.selectExpr("source_file", "id", "explode_outer(entry) AS entry").selectExpr(
         "source_file",
-        "bundle_id",
-        F.col("entry.fullUrl").alias("full_url"),
-        resource.alias("resource"),
-        F.try_variant_get(resource, "$.resourceType", "string").alias("resource_type"),
-    ).where("resource_type <> ''")
-
-    own_fields = "struct<" + ",".join(f"{name}:variant" for name in LINEAGE) + ">"
-    typed = typed.withColumn("own", F.try_variant_get("resource", "$", own_fields))
-
-    def lineage(name: str, given: str) -> Column:
-        own = F.col("own")[name]
-        return F.when(own.isNull(), F.col(given)).otherwise(F.try_variant_get(own, "$", "string")).alias(name)
-
-    given = ["source_file", "bundle_id", "full_url"]
+        "id",
+        "entry.fullUrl AS full_url",
+        "entry.resource AS resource",
+        "try_variant_get(entry.resource, '$.resourceType', 'string') AS resource_type",
+    )
+    own = "struct<" + ",".join(f"{name}:variant" for name in LINEAGE) + ">"
+    typed = entries.where("resource_type <> ''").selectExpr("*", f"try_variant_get(resource, '$', '{own}') AS own")
+    lineage = [
+        f"CASE WHEN own.{name} IS NULL THEN {given} ELSE try_variant_get(own.{name}, '$', 'string') END AS {name}"
+        for name, given in zip(LINEAGE, ["source_file", "id", "full_url"], strict=True)
+    ]
     return typed.select(
-        table_name(F.col("resource_type")).alias("bronze_table"),
-        *[lineage(name, column) for name, column in zip(LINEAGE, given, strict=True)],
-        "resource",
+        table_name(F.col("resource_type")).alias("bronze_table"), *[F.expr(column) for column in lineage], "resource"
     )
 
 
