@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from caretiers.llm import quality, sharding
+from caretiers.llm import licenses, lines, pii, quality, sharding
 
 QUERIES = {
+    "op1_pii": pii.query,
+    "op3_line_dedup": lines.query,
+    "op7_license_scan": licenses.query,
     "op8_sharding": sharding.query,
     "op10_quality_rules": quality.query,
 }
 ORACLES = {
+    "op3_line_dedup": lines.ORACLE,
     "op10_quality_rules": quality.ORACLE,
 }
