@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from caretiers.llm import licenses, lines, pii, quality, sharding
+from caretiers.llm import licenses, lines, packing, pii, quality, sharding, tokenfiles
 
 QUERIES = {
     "op1_pii": pii.query,
+    "op2_token_files": tokenfiles.query,
     "op3_line_dedup": lines.query,
+    "op5_packing": packing.query,
     "op7_license_scan": licenses.query,
     "op8_sharding": sharding.query,
     "op10_quality_rules": quality.query,
