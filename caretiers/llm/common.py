@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +39,22 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package's modules to the Python workers, once an application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        target = Path(tempfile.mkdtemp()) / "caretiers.zip"
+        with zipfile.ZipFile(target, "w") as archive:
+            for module in sorted(package.rglob("*.py")):
+                archive.write(module, module.relative_to(package.parent))
+        context.addPyFile(str(target))
+        _shipped.add(context.applicationId)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows written as Parquet to a shared folder and read back: lineage ends here."""
     path = shared_dir(df.sparkSession)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from caretiers.llm.common import documents
+from caretiers.llm.common import documents, ship
 
 CAPACITY = 2048
 #: Largest piece of a document's rest. Small pieces balance well; each is a row.
@@ -146,6 +146,7 @@ def pack(
     with_ids: bool = True,
 ) -> DataFrame:
     """A row for each piece: its place in its document, its sequence, its place there, and its ids."""
+    ship(docs.sparkSession)
     texts = docs.selectExpr("cast(doc_id as bigint) as doc_id", "text")
     return texts.mapInArrow(packer(tokenizer, end, capacity, piece, group, with_ids), SCHEMA if with_ids else NO_IDS)
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from caretiers.llm import licenses, lines, packing, pii, quality, sharding, tokenfiles
+from caretiers.llm import decontam, licenses, lines, packing, pii, quality, sharding, tokenfiles
 
 QUERIES = {
     "op1_pii": pii.query,
     "op2_token_files": tokenfiles.query,
     "op3_line_dedup": lines.query,
+    "op4_benchmark_decontamination": decontam.query,
     "op5_packing": packing.query,
     "op7_license_scan": licenses.query,
     "op8_sharding": sharding.query,
@@ -15,5 +16,6 @@ QUERIES = {
 }
 ORACLES = {
     "op3_line_dedup": lines.ORACLE,
+    "op4_benchmark_decontamination": decontam.ORACLE,
     "op10_quality_rules": quality.ORACLE,
 }

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caretiers.llm.common import documents, shared_dir
+from caretiers.llm.common import documents, shared_dir, ship
 
 TOKENIZER = "byte_bpe_50k.json"
 END = 0
@@ -57,6 +57,7 @@ def encoding(tokenizer: str, end: int):
 
 def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end: int = END) -> None:
     """Writes the ids of all texts in ascending order of ``doc_id``."""
+    ship(docs.sparkSession)
     texts = docs.selectExpr("cast(doc_id as bigint) as doc_id", "coalesce(text, '') as text")
     dealt = texts.repartitionByRange(F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
     dealt.mapInArrow(encoding(tokenizer, end), SCHEMA).write.options(**OPTIONS).orc(path)
