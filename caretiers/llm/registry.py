@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caretiers.llm import decontam, licenses, lines, packing, pii, quality, sharding, tokenfiles
+from caretiers.llm import decontam, licenses, lines, ngramjoin, packing, pii, quality, sharding, tokenfiles
 
 QUERIES = {
     "op1_pii": pii.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_packing": packing.query,
     "op7_license_scan": licenses.query,
     "op8_sharding": sharding.query,
+    "op9_ngram_jaccard_join": ngramjoin.query,
     "op10_quality_rules": quality.query,
 }
 ORACLES = {
