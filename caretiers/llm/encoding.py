@@ -3,7 +3,7 @@
 Both tokenizers split a text into pieces before they merge bytes, and no piece holds a character other
 than white space followed by white space. So a text may be cut before every space that follows another
 character, and the cuts' ids, joined, are the text's ids. Words recur, and their ids are remembered up
-to a bound per Python worker; a full memory is emptied, which costs time only.
+to a bound per Python worker: a full memory becomes the old one, of which words in use are taken over.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from functools import cache
 import public_tokenizers
 from tokenizers import Tokenizer
 
-#: Words remembered in one Python worker, about 200 bytes each.
-REMEMBERED = 1_000_000
+#: Words in the memory of one Python worker, about 250 bytes each; as many are in the old memory.
+REMEMBERED = 250_000
 _SPACE_AFTER_SPACE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
@@ -26,6 +26,7 @@ class _Words(dict):
 
     def __init__(self, tokenizer: Tokenizer, before: str, folds_case: bool) -> None:
         self.tokenizer, self.before, self.folds_case = tokenizer, before, folds_case
+        self.old: dict[str, bytes] = {}
         self.ends = {c: self.ids(c) for c in ".,"}
         self.newline = self.ids("\n")
         self.starts: _Words = self
@@ -40,8 +41,11 @@ class _Words(dict):
                 return self[first] + b"".join(self.newline + self.starts[w] for w in rest)
             return self.ids(self.before + word)
         if len(self) >= REMEMBERED:
+            self.old = dict(self)
             self.clear()
-        if len(word) > 1 and word[-1] in self.ends and word[-2].lower().isalpha():
+        if (found := self.old.get(word)) is not None:
+            pass
+        elif len(word) > 1 and word[-1] in self.ends and word[-2].lower().isalpha():
             found = self[word[:-1]] + self.ends[word[-1]]
         elif self.folds_case and word.isascii() and "<|" not in word and (lower := word.lower()) != word:
             found = self[lower]
