@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caretiers.llm import decontam, licenses, lines, ngramjoin, packing, pii, quality, sharding, tokenfiles
+from caretiers.llm import decontam, licenses, lines, ngramjoin, packing, pii, quality, sharding, suffixes, tokenfiles
 
 QUERIES = {
     "op1_pii": pii.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_line_dedup": lines.query,
     "op4_benchmark_decontamination": decontam.query,
     "op5_packing": packing.query,
+    "op6_suffix_dedup": suffixes.query,
     "op7_license_scan": licenses.query,
     "op8_sharding": sharding.query,
     "op9_ngram_jaccard_join": ngramjoin.query,
