@@ -5,9 +5,11 @@
    the others by hash. Any order gives right results; this one keeps common passages out of prefixes.
 3. Two sets of similarity ``PERCENT`` share a shingle among their first n - ceil(0.75 n) + 1. For every
    such shingle the smallest class that has it leads; the others become members of the leader's bucket.
-4. A bucket inserts its ordered sets one by one into a trie of shared prefixes. Each set first walks the
-   trie, carrying the overlap so far; a branch is left when what remains of its longest set cannot
-   bring the overlap to the bound, when its sets are too long, or when all are in the same component.
+4. In a bucket, sizes and sketches, whose differing bits bound the differing shingles from below, drop
+   members without a possible partner before any text moves. The others' ordered sets go one by one
+   into a trie of shared prefixes. Each set first walks the trie, carrying the overlap so far; a branch
+   is left when what remains of its longest set cannot bring the overlap to the bound, when its sets
+   are too long, or when all are in the same component.
 5. Links make components. A large bucket is dealt into chunks of bounded size, each with the leader. Its
    members that did not join the leader's component then meet every other chunk, in blocks.
 
@@ -33,7 +35,12 @@ from caretiers.llm.graph import components
 from caretiers.llm.wordhash import NOT_SPACE, blocks, mix, shingles, text_bytes, words
 
 PERCENT = 75
+#: Texts in a block of rows.
 BLOCK_BYTES = 8 << 20
+#: Rows in a block: their numbers stand above a shingle's bits.
+BLOCK_ROWS = 4095
+BITS = np.uint64(52)
+TOKEN = np.uint64((1 << 52) - 1)
 #: A shingle this often in a block of texts is reported as recurring.
 RECURS = 4
 #: Most frequent recurring shingles that are ordered by count; the others go by hash. Sets the order only.
@@ -43,17 +50,14 @@ CHUNK = 400_000
 
 
 def sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Each row's distinct shingles, ascending, and where each row's begin."""
+    """Each row's distinct shingles, ascending, and where each row's begin. At most ``BLOCK_ROWS`` rows."""
     values, offsets = text_bytes(column)
     _, _, hashes, rows = words(values, offsets, NOT_SPACE)
     found, begins = shingles(hashes, rows)
-    row = np.repeat(np.arange(len(column)), np.diff(begins))
-    order = np.lexsort((found, row))
-    found, row = found[order], row[order]
-    fresh = np.ones(len(found), bool)
-    fresh[1:] = (found[1:] != found[:-1]) | (row[1:] != row[:-1])
-    found, row = found[fresh], row[fresh]
-    return found, np.searchsorted(row, np.arange(len(column) + 1))
+    row = np.repeat(np.arange(len(column), dtype=np.uint64), np.diff(begins))
+    found = np.sort(row << BITS | found >> np.uint64(64 - int(BITS)))
+    found = found[np.concatenate([[True], found[1:] != found[:-1]])[: len(found)]]
+    return found & TOKEN, np.searchsorted(found, np.arange(len(column) + 1, dtype=np.uint64) << BITS)
 
 
 def signatures(found: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -63,6 +67,25 @@ def signatures(found: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return mix(sums[begins[1:]] - sums[begins[:-1]] + sizes * np.uint64(0x2545F4914F6CDD1D)).view(np.int64)
 
 
+def sketches(found: np.ndarray, begins: np.ndarray) -> list[bytes]:
+    """For each row, how often its shingles fall on each bit, modulo 2; as many bits as shingles, to a power of two.
+
+    Two sketches differ in no more bits than the sets in shingles.
+    """
+    sizes = np.diff(begins)
+    wide = sketch_words(sizes)
+    first = np.cumsum(wide) - wide
+    bit = found & (np.repeat(wide, sizes) * 64 - 1).astype(np.uint64)
+    out = np.zeros(int(wide.sum()), np.uint64)
+    np.bitwise_xor.at(out, np.repeat(first, sizes) + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    data = out.tobytes()
+    return [data[8 * a : 8 * (a + n)] for a, n in zip(first.tolist(), wide.tolist(), strict=True)]
+
+
+def sketch_words(sizes: np.ndarray) -> np.ndarray:
+    return 1 << np.ceil(np.log2(np.maximum(sizes, 64) / 64)).astype(np.int64)
+
+
 def firsts(signature: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Rows of a block that are the first of their class and have a shingle."""
     _, first = np.unique(signature, return_index=True)
@@ -75,49 +98,107 @@ def picked(found: np.ndarray, begins: np.ndarray, rows: np.ndarray, counts: np.n
     return found[at], np.repeat(rows, counts)
 
 
-def in_order(found: np.ndarray, begins: np.ndarray, order) -> np.ndarray:
-    """Every row's shingles in the global order."""
-    known, place = order
-    row = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
-    rank = np.zeros(len(found), np.int64)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, found), len(known) - 1)
-        rank = np.where(known[at] == found, place[at], 0)
-    return found[np.lexsort((found, rank, row))]
+class Order:
+    """The global order of shingles: the known ones last, by their places, the others by hash."""
 
+    def __init__(self, token: np.ndarray, place: np.ndarray) -> None:
+        by_token = np.argsort(token)
+        self.token, self.place = token[by_token], place[by_token]
+        self.maybe = np.zeros(1 << 22, bool)
+        self.maybe[token & np.uint64(len(self.maybe) - 1)] = True
 
-def class_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in blocks(batches, "text", BLOCK_BYTES):
-        found, begins = sets(b.column("text"))
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(begins).astype(np.int64)), pa.array(signatures(found, begins))], ["doc_id", "n", "sig"])
+    def apply(self, found: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Every row's shingles (ascending by hash) in this order."""
+        at = np.flatnonzero(self.maybe[found & np.uint64(len(self.maybe) - 1)])
+        if not len(at):
+            return found
+        where = np.minimum(np.searchsorted(self.token, found[at]), len(self.token) - 1)
+        known = self.token[where] == found[at]
+        at, where = at[known], where[known]
+        row = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
+        last = (row * 2).astype(np.uint16)
+        last[at] += 1
+        out = found[np.argsort(last, kind="stable")]
+        slots = np.flatnonzero(np.sort(last, kind="stable") & 1)
+        out[slots] = found[at][np.lexsort((found[at], self.place[where], row[at]))]
+        return out
 
 
-def recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in blocks(batches, "text", BLOCK_BYTES):
+CLASSES = "doc_id long, key long, n long, sig long, sketch binary, token long, count long"
+
+
+def class_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each document with its class, and one for each shingle that recurs in the block."""
+    for b in blocks(batches, "text", BLOCK_BYTES, BLOCK_ROWS):
         found, begins = sets(b.column("text"))
-        sizes = np.diff(begins)
-        rows = firsts(signatures(found, begins), sizes)
+        sizes, signature = np.diff(begins), signatures(found, begins)
+        rows = firsts(signature, sizes)
         held, count = np.unique(picked(found, begins, rows, sizes[rows])[0], return_counts=True)
         often = count >= RECURS
-        yield pa.RecordBatch.from_arrays([pa.array(held[often].view(np.int64)), pa.array(count[often])], ["token", "count"])
+        known, more = len(sizes), int(often.sum())
+        columns = [b.column("doc_id"), b.column("key"), pa.array(sizes.astype(np.int64)), pa.array(signature), pa.array(sketches(found, begins), pa.binary())]
+        columns = [pa.concat_arrays([c, pa.nulls(more, c.type)]) for c in columns]
+        columns += [pa.concat_arrays([pa.nulls(known, pa.int64()), pa.array(x[often].astype(np.int64))]) for x in (held, count)]
+        yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in CLASSES.split(", ")])
 
 
 def prefixes(order, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in blocks(batches, "text", BLOCK_BYTES):
+    for b in blocks(batches, "text", BLOCK_BYTES, BLOCK_ROWS):
         found, begins = sets(b.column("text"))
         sizes, signature = np.diff(begins), signatures(found, begins)
         rows = firsts(signature, sizes)
-        found = in_order(found, begins, order.value)
+        found = order.value.apply(found, begins)
         token, row = picked(found, begins, rows, sizes[rows] - (PERCENT * sizes[rows] + 99) // 100 + 1)
         yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(signature[row]), pa.array(sizes[row].astype(np.int32))], ["token", "sig", "n"])
 
 
-def class_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in blocks(batches, "text", BLOCK_BYTES):
-        found, begins = sets(b.column("text"))
-        signature = signatures(found, begins)
-        rows = pa.array(firsts(signature, np.diff(begins)))
-        yield pa.RecordBatch.from_arrays([b.column("doc_id").take(rows), pa.array(signature).take(rows), b.column("text").take(rows)], ["id", "of", "text"])
+def with_partner(n: np.ndarray, sketch: list[bytes]) -> np.ndarray:
+    """Which sets may be similar to another one, as far as sizes and sketches tell; none that is goes."""
+    out = np.zeros(len(n), bool)
+    wide = sketch_words(n)
+    for w in np.unique(wide):
+        at = np.flatnonzero(wide == w)
+        bits = np.frombuffer(b"".join(sketch[i] for i in at), np.uint64).reshape(len(at), w)
+        above = np.flatnonzero(wide == 2 * w)
+        folded = np.frombuffer(b"".join(sketch[i] for i in above), np.uint64).reshape(len(above), 2, w)
+        bits, both = np.concatenate([bits, folded[:, 0] ^ folded[:, 1]]), np.concatenate([at, above])
+        sizes = n[both]
+        for i in range(len(at)):
+            rest = slice(i + 1, None)
+            fits = 100 * np.minimum(sizes[rest], sizes[i]) >= PERCENT * np.maximum(sizes[rest], sizes[i])
+            apart = np.bitwise_count(bits[rest] ^ bits[i]).sum(1, dtype=np.int64)
+            close = fits & ((100 + PERCENT) * apart <= (100 - PERCENT) * (sizes[rest] + sizes[i]))
+            if close.any():
+                out[both[i]] = True
+                out[both[rest][close]] = True
+    return out
+
+
+PLACED = "leader long, chunk string, sig long"
+
+
+def hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket; those with a possible partner in theirs."""
+    held: list[pa.RecordBatch] = []
+
+    def judged(t: pa.Table) -> list[pa.RecordBatch]:
+        n, sketch = t["n"].to_numpy(), t["sketch"].to_pylist()
+        leader, chunk = t["leader"].to_numpy(), t["chunk"].to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero((leader[1:] != leader[:-1]) | (chunk[1:] != chunk[:-1])) + 1), len(n)]
+        keep = np.concatenate([with_partner(n[a:b], sketch[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)])
+        return t.select(["leader", "chunk", "sig"]).filter(pa.array(keep)).to_batches()
+
+    for b in batches:
+        # Whole buckets only: what follows the last border waits for the next batch.
+        leader, chunk = b.column("leader").to_numpy(), b.column("chunk").to_numpy(zero_copy_only=False)
+        borders = np.flatnonzero((leader[1:] != leader[:-1]) | (chunk[1:] != chunk[:-1]))
+        if len(borders):
+            yield from judged(pa.Table.from_batches([*held, b.slice(0, borders[-1] + 1)]))
+            held, b = [], b.slice(borders[-1] + 1)
+        if b.num_rows:
+            held.append(b)
+    if held:
+        yield from judged(pa.Table.from_batches(held))
 
 
 class Trie:
@@ -197,9 +278,9 @@ def bucket_links(order, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         own = list(names)
         return [(own[i], own[trie.component(i)]) for i in range(len(own)) if trie.component(i) != i]
 
-    for b in blocks(batches, "text", BLOCK_BYTES):
+    for b in blocks(batches, "text", BLOCK_BYTES, BLOCK_ROWS):
         found, begins = sets(b.column("text"))
-        found = in_order(found, begins, order.value)
+        found = order.value.apply(found, begins)
         out = []
         for i, (leader, chunk, sig) in enumerate(zip(*(b.column(c).to_pylist() for c in ("leader", "chunk", "sig")), strict=True)):
             if (leader, chunk) != key:
@@ -213,34 +294,33 @@ def bucket_links(order, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
     yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
 
-def shingle_order(texts: DataFrame):
+def shingle_order(counted: DataFrame):
     """Recurring shingles and their places behind all others, broadcast; at most ``ORDERED``."""
-    counted = texts.mapInArrow(recurring, "token long, count long").groupBy("token").agg(F.sum("count").alias("count"))
-    top = counted.orderBy(F.desc("count"), "token").limit(ORDERED).collect()
-    token = np.array([r[0] for r in top], np.int64).view(np.uint64)
-    place = np.arange(len(top), 0, -1)
-    by_token = np.argsort(token)
-    return texts.sparkSession.sparkContext.broadcast((token[by_token], place[by_token]))
+    top = counted.groupBy("token").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "token").limit(ORDERED).collect()
+    order = Order(np.array([r[0] for r in top], np.int64).view(np.uint64), np.arange(len(top), 0, -1))
+    return counted.sparkSession.sparkContext.broadcast(order)
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """For every row ``doc_id``, ``n`` (its number of shingles), ``sig`` (its class) and ``root`` (its component's)."""
     ship(docs.sparkSession)
-    texts = docs.selectExpr("cast(doc_id as bigint) as doc_id", "text")
-    nodes = stored(texts.mapInArrow(class_rows, "doc_id long, n long, sig long"))
-    order = shingle_order(texts)
+    texts = docs.selectExpr("cast(doc_id as bigint) as doc_id", "text", "xxhash64(text) as key")
+    both_kinds = stored(texts.mapInArrow(class_rows, CLASSES))
+    nodes = both_kinds.where("sig is not null").select("doc_id", "key", "n", "sig", "sketch")
+    order = shingle_order(both_kinds.where("token is not null").select("token", "count"))
 
     prefix = texts.mapInArrow(lambda it: prefixes(order, it), "token long, sig long, n int")
     shared = prefix.groupBy("token").agg(F.min("sig").alias("leader"), F.max("sig").alias("last")).where("leader < last").drop("last")
     members = stored(prefix.join(shared, "token").select("leader", "sig", "n").distinct())
     sizes = members.groupBy("leader").agg(F.ceil(F.sum("n") / CHUNK).alias("chunks"))
-    owners = nodes.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("owner"))
-    of_class = texts.mapInArrow(class_texts, "id long, of long, text string")
+    of_class = nodes.where("n > 0").groupBy("sig").agg(F.min(F.struct("doc_id", "key")).alias("owner"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
 
     def compared(placed: DataFrame) -> DataFrame:
-        """Links inside buckets: rows ``leader``, ``chunk``, ``sig``."""
-        named = placed.join(owners, "sig").alias("p")
-        rows = named.join(of_class, F.expr("p.sig = of and p.owner <=> id")).select("leader", "chunk", "sig", "text")
+        """Links inside buckets: rows ``leader``, ``chunk``, ``sig``. Texts of hopeless members are not fetched."""
+        sketched = placed.join(of_class.select("sig", "n", "sketch"), "sig").repartition("leader", "chunk").sortWithinPartitions("leader", "chunk")
+        left = stored(sketched.select("leader", "chunk", "sig", "n", "sketch").mapInArrow(hopeful, PLACED))
+        named = left.join(of_class.select("sig", "owner"), "sig").alias("p")
+        rows = named.join(texts.alias("t"), F.expr("p.owner.key = t.key and p.owner.doc_id <=> t.doc_id")).select("leader", "chunk", "sig", "text")
         dealt = rows.repartition("leader", "chunk").sortWithinPartitions("leader", "chunk", "sig")
         return stored(dealt.mapInArrow(lambda it: bucket_links(order, it), "a long, b long"))
 

@@ -38,13 +38,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return values[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
-    """The batches cut into runs of rows whose texts have at most ``most`` bytes together (one row at least)."""
+def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int, rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of at most ``rows`` rows whose texts have at most ``most`` bytes together (one row at least)."""
     for b in batches:
         _, offsets = text_bytes(b.column(column))
         at = 0
         while at < b.num_rows:
-            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
+            end = min(at + rows, max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1))
             yield b.slice(at, end - at)
             at = end
 
