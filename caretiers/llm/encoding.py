@@ -16,7 +16,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 #: Words in the memory of one Python worker, about 250 bytes each; as many are in the old memory.
-REMEMBERED = 250_000
+REMEMBERED = 600_000
 _SPACE_AFTER_SPACE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
