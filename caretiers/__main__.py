@@ -1,4 +1,4 @@
-"""Command line: ``python -m caretiers <bundles> [--db ROOT] [--lines] [--debug]``."""
+"""Command line: ``python -m caretiers <bundles> --db ROOT [--lines] [--debug]``."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from caretiers.session import build_session
 def main() -> None:
     parser = argparse.ArgumentParser(prog="caretiers", description="FHIR bundles to bronze, silver and gold tables.")
     parser.add_argument("input", help="directory of bundle files (*.json)")
-    parser.add_argument("--db", help="directory for the tables (default: the Spark warehouse)")
+    parser.add_argument("--db", required=True, help="directory for the tables")
     parser.add_argument("--lines", action="store_true", help="files hold one bundle per line")
     parser.add_argument("--debug", action="store_true", help="also store the silver tables")
     parser.add_argument("--as-of", type=datetime.date.fromisoformat, help="date at which ages are taken")

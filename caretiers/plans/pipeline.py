@@ -6,6 +6,7 @@ import datetime
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from caretiers import contracts as C
 from caretiers.operators.flatten import flatten_condition, flatten_observation, flatten_patient
@@ -13,7 +14,7 @@ from caretiers.operators.validation import validate_condition, validate_observat
 from caretiers.plans import reports
 from caretiers.plans.gold import build_observations_per_patient
 from caretiers.sources.bundles import load_bronze_bundles
-from caretiers.sources.tables import Warehouse, get_table_summary
+from caretiers.sources.tables import Warehouse
 
 GOLD_TABLE = "observations_per_patient"
 
@@ -30,7 +31,12 @@ class Silver:
 def run_bronze(warehouse: Warehouse, path: str, lines: bool = False) -> DataFrame:
     """Load bundles into the bronze tables; gives rows per table."""
     warehouse.write_bronze(load_bronze_bundles(warehouse.spark, path, lines))
-    return get_table_summary(warehouse.spark, C.Schema.BRONZE)
+    return warehouse.summary(C.Schema.BRONZE)
+
+
+def bronze_totals(counts: DataFrame) -> DataFrame:
+    """One row, ``types`` and ``resources``, of rows per table or type."""
+    return counts.agg(F.count("*").alias("types"), F.coalesce(F.sum("rows"), F.lit(0)).alias("resources"))
 
 
 def run_silver(warehouse: Warehouse) -> Silver:
@@ -55,9 +61,9 @@ def run_gold(silver: Silver, as_of: datetime.date | None = None) -> C.Observatio
 
 
 def print_bronze_summary(summary: DataFrame) -> None:
-    rows = summary.collect()
-    print(f"{sum(row['rows'] for row in rows)} resources of {len(rows)} types")
-    for row in rows:
+    totals = bronze_totals(summary).first()
+    print(f"{totals['resources']} resources of {totals['types']} types")
+    for row in summary.collect():
         print(f"  {row['table']}: {row['rows']}")
 
 
@@ -78,7 +84,7 @@ def print_report(title: str, report: DataFrame) -> None:
 def run_pipeline(
     spark: SparkSession,
     path: str,
-    root: str | None = None,
+    root: str,
     *,
     lines: bool = False,
     debug: bool = False,

@@ -136,12 +136,14 @@ def _report(validated: Frame, total: str, fields: Mapping[str, str]) -> DataFram
         .groupBy("validation_errors")
         .agg(F.count("*").alias("n"), *_counts(fields))
     )
+    # A missing list of errors counts in the totals and is not valid.
+    broken = F.coalesce(F.array_compact("validation_errors"), F.array().cast("array<string>"))
     # One line per combination for the totals (no error), and one per broken rule.
     lines = combinations.select(
         "n",
         *field_names,
-        (F.size("validation_errors") == 0).alias("is_valid"),
-        F.explode(F.concat(F.array(F.lit(None).cast("string")), "validation_errors")).alias("error"),
+        F.coalesce(F.size("validation_errors") == 0, F.lit(False)).alias("is_valid"),
+        F.explode(F.concat(F.array(F.lit(None).cast("string")), broken)).alias("error"),
     )
     per_error = lines.groupBy("error").agg(
         F.sum("n").alias("n"),

@@ -25,12 +25,12 @@ SETTINGS = {
 
 
 def build_session(app_name: str = "caretiers", **overrides: str) -> SparkSession:
-    """Session with ``SETTINGS``; settings already given to spark-submit win."""
+    """Session with ``SETTINGS``; settings already given, to spark-submit or to a running session, win."""
     builder = SparkSession.builder.appName(app_name)
     for key, value in overrides.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    given = dict(spark.sparkContext.getConf().getAll()) | overrides
+    given = dict(spark.sparkContext.getConf().getAll()) | dict(spark.conf.getAll) | overrides
     for key, value in SETTINGS.items():
         if key not in given:
             spark.conf.set(key, value)

@@ -6,11 +6,16 @@ resource type is a filter on ``bronze_table``.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caretiers.operators.flatten import LINEAGE
+from caretiers.sources.files import is_directory, matches
 
+#: Characters with a meaning in path patterns.
+GLOB = re.compile(r"[\[\]{}*?\\]")
 BUNDLE = "id string, entry array<struct<fullUrl:string,resource:variant>>"
 BRONZE = "_source_file string, _source_bundle string, _full_url string, resource variant"
 
@@ -21,14 +26,17 @@ def _file_name() -> Column:
 
 
 def read_bundles(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Bundles of all ``*.json`` files in a directory (subdirectories are not read), or of one file.
+    """Bundles of all ``*.json`` files in a directory (subdirectories are not read), or of one file
+    of any name.
 
     ``lines`` reads files with one bundle per line. They can be split over tasks, so prefer them
     for large imports. Malformed JSON fails the job.
     """
     reader = spark.read.schema(BUNDLE).option("multiLine", not lines).option("mode", "FAILFAST")
-    if not path.endswith(".json"):
-        reader = reader.option("pathGlobFilter", "*.json")
+    if is_directory(spark, path):
+        path = f"{GLOB.sub(r'\\\g<0>', path.rstrip('/'))}/*.json"
+        if not matches(spark, path):
+            return spark.createDataFrame([], f"source_file string, {BUNDLE}")
     return reader.json(path).select(_file_name().alias("source_file"), "id", "entry")
 
 
@@ -38,9 +46,17 @@ def parse_bundles(df: DataFrame, text: str = "bundle", source_file: str = "sourc
     return df.select(F.col(source_file).alias("source_file"), bundle.alias("bundle")).select("source_file", "bundle.*")
 
 
+NOT_IN_NAMES = "[^a-z0-9_]"
+
+
 def table_name(resource_type: Column) -> Column:
     """Bronze table of a resource type: lower case, with _ for what a table name cannot hold."""
-    return F.regexp_replace(F.lower(resource_type), "[^a-z0-9_]", "_")
+    return F.regexp_replace(F.lower(resource_type), NOT_IN_NAMES, "_")
+
+
+def table_name_of(resource_type: str) -> str:
+    """``table_name`` of a type known in advance."""
+    return re.sub(NOT_IN_NAMES, "_", resource_type.lower())
 
 
 def explode_entries(bundles: DataFrame) -> DataFrame:
@@ -93,6 +109,21 @@ def resource_counts(entries: DataFrame) -> DataFrame:
     return entries.groupBy("bronze_table").agg(F.count("*").alias("rows"))
 
 
+#: Field names (quoted, or before a colon) and the types that columns cannot have.
+_NAME_OR_TYPE = re.compile(r"`(?:[^`]|``)*`|\w+(?=\s*:)|OBJECT(?=<)|VOID")
+
+
+def column_types(variant_schema: str) -> str:
+    """The schema of a variant as column types: objects are structs, and what is null in all rows stays a variant."""
+    types = {"OBJECT": "STRUCT", "VOID": "VARIANT"}
+
+    def column_type(found: re.Match) -> str:
+        named = found[0].startswith("`") or variant_schema[found.end() :].lstrip().startswith(":")
+        return found[0] if named else types[found[0]]
+
+    return _NAME_OR_TYPE.sub(column_type, variant_schema)
+
+
 def nested_columns(bronze: DataFrame) -> DataFrame:
     """The resource as nested columns, one per JSON field, with the schema merged over all rows.
 
@@ -102,8 +133,7 @@ def nested_columns(bronze: DataFrame) -> DataFrame:
     schema = bronze.agg(F.schema_of_variant_agg("resource")).first()[0]
     if not schema.startswith("OBJECT<") or schema == "OBJECT<>":
         return bronze.select(*LINEAGE)
-    ddl = schema.replace("OBJECT<", "STRUCT<")
-    fields = F.try_variant_get("resource", "$", ddl)
+    fields = F.try_variant_get("resource", "$", column_types(schema))
     nested = bronze.select(*LINEAGE, fields.alias("fields"))
     names = [name for name in nested.schema["fields"].dataType.names if name not in LINEAGE]
     return nested.select(*LINEAGE, *[F.col("fields")[name].alias(name) for name in names])

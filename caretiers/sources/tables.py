@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from caretiers.contracts import Schema
-from caretiers.sources.bundles import BRONZE
+from caretiers.sources import files
+from caretiers.sources.bundles import BRONZE, table_name_of
 from caretiers.typed import TypedDataFrame, plain
 
 
@@ -58,74 +58,93 @@ def sample_table(spark: SparkSession, schema: str, table: str, rows: int = 10) -
 class Warehouse:
     """The layers' tables as Parquet directories under ``root``, registered in the catalog.
 
-    Opening the same root in another session finds its tables again.
+    Rows are written and read by path. The catalog gets a table for each directory, in databases named
+    ``prefix`` and the layer, for SQL; a table of that name which lies elsewhere is never replaced.
+    Opening the same root in another session finds its rows again.
     """
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
         self.spark = spark
-        self.root = (root or spark.conf.get("spark.sql.warehouse.dir") + "/caretiers").rstrip("/")
+        self.root = root.rstrip("/")
+        self.prefix = prefix
         for schema in Schema:
-            ensure_schema(spark, schema)
+            ensure_schema(spark, self.database(schema))
+
+    def database(self, schema: str) -> str:
+        return f"{self.prefix}{schema}"
+
+    def path(self, schema: str, table: str) -> str:
+        return f"{self.root}/{schema}/bronze_table={table}" if schema == Schema.BRONZE else f"{self.root}/{schema}/{table}"
+
+    def tables(self, schema: str) -> list[str]:
+        """Names of the layer's stored tables, from the directories; no data is read."""
+        start = "bronze_table=" if schema == Schema.BRONZE else ""
+        names = files.directories(self.spark, f"{self.root}/{schema}")
+        return [name.removeprefix(start) for name in names if name.startswith(start)]
 
     def write(self, schema: str, table: str, df: DataFrame | TypedDataFrame) -> None:
         """Create the table or replace it, schema included."""
-        ensure_schema(self.spark, schema)
-        writer = plain(df).write.format("parquet").mode("overwrite")
-        writer.option("path", f"{self.root}/{schema}/{table}").saveAsTable(quote(schema, table))
+        name, path = self._own_name(schema, table), self.path(schema, table)
+        plain(df).write.format("parquet").mode("overwrite").option("path", path).saveAsTable(name)
 
     def write_all(self, schema: str, frames: Mapping[str, DataFrame | TypedDataFrame]) -> None:
         for table, df in frames.items():
             self.write(schema, table, df)
 
     def read(self, schema: str, table: str) -> DataFrame:
-        return self.spark.table(quote(schema, table))
+        reader = self.spark.read.schema(BRONZE) if schema == Schema.BRONZE else self.spark.read
+        return reader.parquet(self.path(schema, table))
+
+    def summary(self, schema: str) -> DataFrame:
+        """Rows of every stored table of a layer, as (``table``, ``rows``); one job for all of them."""
+        counts = [
+            self.read(schema, name).agg(F.count("*").alias("rows")).select(F.lit(f"{schema}.{name}").alias("table"), "rows")
+            for name in self.tables(schema)
+        ]
+        return reduce(DataFrame.unionByName, counts) if counts else self.spark.createDataFrame([], "table string, rows bigint")
 
     def write_bronze(self, entries: DataFrame) -> None:
         """Write all resource types in one job, then make each a table of its own.
 
         The rows are rebalanced by type on their real sizes, so a type that holds most rows is
-        spread over many tasks and a rare one does not leave a small file per task. Types that
-        are not in this load keep their earlier rows.
+        spread over many tasks and a rare one does not leave a small file per task. That is adaptive
+        execution's work and needs it. Types that are not in this load keep their earlier rows.
         """
+        if self.spark.conf.get("spark.sql.adaptive.enabled") != "true":
+            raise ValueError("writing bronze needs spark.sql.adaptive.enabled, or one task would write all rows of a type")
         writer = entries.hint("rebalance", "bronze_table").write.partitionBy("bronze_table")
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self._bronze_root)
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{self.root}/{Schema.BRONZE}")
         self._register_bronze()
 
     def bronze(self, resource_type: str) -> DataFrame:
         """Bronze rows of one type; no rows if there is no such table."""
-        name = resource_type.lower()
-        if not self.spark.catalog.tableExists(quote(Schema.BRONZE, name)):
+        name = table_name_of(resource_type)
+        if not files.exists(self.spark, self.path(Schema.BRONZE, name)):
             return self.spark.createDataFrame([], BRONZE)
         return self.read(Schema.BRONZE, name)
 
     def attach(self) -> None:
         """Register the tables an earlier session left under ``root``."""
-        if self._exists(self._bronze_root):
-            self._register_bronze()
-        known = [(Schema.SILVER, name) for name in ("patient", "condition", "observation")]
-        for schema, table in [*known, (Schema.GOLD, "observations_per_patient")]:
-            path = f"{self.root}/{schema}/{table}"
-            if self._exists(path):
-                self._register(schema, table, self.spark.read.parquet(path).schema, path)
-
-    @property
-    def _bronze_root(self) -> str:
-        return f"{self.root}/{Schema.BRONZE}"
-
-    def _exists(self, path: str) -> bool:
-        try:
-            self.spark.read.schema(BRONZE).parquet(path)
-        except AnalysisException:
-            return False
-        return True
+        self._register_bronze()
+        for schema in (Schema.SILVER, Schema.GOLD):
+            for table in self.tables(schema):
+                self._register(schema, table, self.read(schema, table).schema)
 
     def _register_bronze(self) -> None:
-        stored = self.spark.read.schema(f"{BRONZE}, bronze_table string").parquet(self._bronze_root)
-        for row in stored.select("bronze_table").distinct().collect():
-            path = f"{self._bronze_root}/bronze_table={row[0]}"
-            self._register(Schema.BRONZE, row[0], stored.drop("bronze_table").schema, path)
+        for table in self.tables(Schema.BRONZE):
+            self._register(Schema.BRONZE, table, self.read(Schema.BRONZE, table).schema)
 
-    def _register(self, schema: str, table: str, columns: StructType, path: str) -> None:
-        name = quote(schema, table)
+    def _register(self, schema: str, table: str, columns: StructType) -> None:
+        name = self._own_name(schema, table)
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.catalog.createTable(name, path=path, source="parquet", schema=columns)
+        self.spark.catalog.createTable(name, path=self.path(schema, table), source="parquet", schema=columns)
+
+    def _own_name(self, schema: str, table: str) -> str:
+        """The table's name in the catalog; an error if another place has it."""
+        name = quote(self.database(schema), table)
+        if self.spark.catalog.tableExists(name):
+            about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+            place = files.qualified(self.spark, about["data_type"]) if about else "a view"
+            if place != files.qualified(self.spark, self.path(schema, table)):
+                raise ValueError(f"{name} is {place}, not of the warehouse {self.root}; give this warehouse another prefix")
+        return name

@@ -28,14 +28,14 @@ def naive(patients, observations):
 
 
 def test_counts_and_ages(spark):
-    patients = [("p1", "2000-01-01"), ("p2", None), ("p3", "not-a-date")]
-    observations = [("o1", "p1"), ("o2", "p1"), ("o3", "p1"), ("o4", "p2"), ("o5", "unknown"), ("o6", None)]
+    patients = [("anna", "1984-06-30"), ("otto", "soon"), ("eve", None)]
+    observations = [("pulse", "anna"), ("weight", "anna"), ("gait", "eve"), ("lost", None), ("foreign", "bob")]
     gold = build_observations_per_patient(*frames(patients, observations), as_of=AS_OF)
     assert gold.columns == ["patient_id", "observation_count", "birth_date", "patient_age_years"]
     assert sorted(map(tuple, gold.collect())) == [
-        ("p1", 3, datetime.date(2000, 1, 1), 25),
-        ("p2", 1, None, None),
-        ("p3", 0, None, None),
+        ("anna", 2, datetime.date(1984, 6, 30), 40),
+        ("eve", 1, None, None),
+        ("otto", 0, None, None),
     ]
 
 

@@ -36,6 +36,7 @@ def test_queries_stay_in_the_jvm(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
     assert not re.search(r"Python|CartesianProduct|BroadcastNestedLoopJoin|LocalLimit|CollectLimit", text)
     assert text.count("from_json") <= 3
+    assert "REPARTITION_BY_NUM" not in text
 
 
 def test_variant_paths_reach_the_scan(bronze):

@@ -9,15 +9,10 @@ from workload.queries import QUERIES
 SF_DIR = "/root/testdata/sf0.001"
 
 
-def test_every_query_but_the_sample_has_sql():
-    assert set(QUERIES) - set(ORACLES) == {"sample_table"}
-    assert set(ORACLES) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", ORACLES)
 def test_query_equals_sql(spark, name):
     assert differences(spark, name, SF_DIR) == []
-
-
-def test_sample_has_ten_rows(spark):
-    assert QUERIES["sample_table"](spark, SF_DIR).count() == 10

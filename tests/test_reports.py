@@ -11,6 +11,13 @@ def validated(spark):
     return spark.createDataFrame(rows, "id int, validation_errors array<string>")
 
 
+def test_rows_without_a_list_of_errors_count_but_are_not_valid(spark):
+    rows = spark.createDataFrame([(1, None), (2, []), (3, ["a", None])], "id int, validation_errors array<string>")
+    report = reports.validation_report(rows).first().asDict(recursive=True)
+    assert report["total_records"] == 3 and report["valid_records"] == 1 and report["invalid_records"] == 2
+    assert report["errors_by_rule"] == [{"error": "a", "count": 1}]
+
+
 def test_validation_summary(validated):
     assert [tuple(row) for row in reports.validation_summary(validated).collect()] == [("a", 3), ("b", 2)]
 

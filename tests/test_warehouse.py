@@ -3,6 +3,7 @@ import json
 
 import pytest
 
+from caretiers import build_session
 from caretiers.__main__ import main
 from caretiers.operators.flatten import flatten_condition, flatten_observation, flatten_patient
 from caretiers.plans.pipeline import run_bronze, run_gold, run_pipeline, run_silver, save_silver_tables
@@ -35,7 +36,7 @@ def summary(spark, schema):
 
 
 def test_write_replaces_rows_and_schema(spark, warehouse):
-    rows = [("p1", 5, datetime.date(2000, 1, 1), 25), ("p2", 3, None, None)]
+    rows = [("anna", 41, datetime.date(1984, 6, 30), 40), ("otto", 0, None, None)]
     gold = spark.createDataFrame(rows, "patient_id string, observation_count bigint, birth_date date, patient_age_years bigint")
     warehouse.write("gold", "observations_per_patient", gold)
     assert sorted(map(tuple, warehouse.read("gold", "observations_per_patient").collect())) == rows
@@ -99,6 +100,7 @@ def test_pipeline_and_reopening(spark, warehouse, bundle_dir, capsys):
         spark.sql(f"DROP DATABASE {schema} CASCADE")
     reopened = Warehouse(spark, warehouse.root)
     assert tables.get_table_names(spark, "bronze") == []
+    assert reopened.bronze("Foo/Bar %1").count() == 3
     reopened.attach()
     assert summary(spark, "bronze")["bronze.patient"] == 3
     assert summary(spark, "silver")["silver.observation"] == 3
@@ -135,6 +137,40 @@ def test_stored_bronze_gives_the_rows_of_the_json(spark, warehouse):
         assert sorted(map(str, function(warehouse.bronze(resource_type)).collect())) == expected
 
 
+def test_two_warehouses_keep_their_rows(spark, warehouse, tmp_path):
+    warehouse.write("gold", "t", spark.range(3))
+    other = Warehouse(spark, str(tmp_path / "other"))
+    with pytest.raises(ValueError, match="another prefix"):
+        other.write("gold", "t", spark.range(5))
+    second = Warehouse(spark, other.root, prefix="second_")
+    second.write("gold", "t", spark.range(5))
+    assert [w.read("gold", "t").count() for w in (warehouse, second)] == [3, 5]
+    assert [spark.table(t).count() for t in ("gold.t", "second_gold.t")] == [3, 5]
+    assert {row["table"]: row["rows"] for row in second.summary("gold").collect()} == {"gold.t": 5}
+    assert second.bronze("Patient").count() == 0 and second.summary("bronze").count() == 0
+    for schema in ("bronze", "silver", "gold"):
+        spark.sql(f"DROP DATABASE second_{schema} CASCADE")
+
+
+def test_bronze_needs_adaptive_execution(spark, warehouse):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="adaptive"):
+            warehouse.write_bronze(spark.createDataFrame([], "bronze_table string, resource string"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_settings_of_a_running_session_stay(spark):
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "12345")
+    try:
+        build_session()
+        assert spark.conf.get("spark.sql.files.openCostInBytes") == "12345"
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+
+
 def test_missing_input_ends_with_a_message(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("sys.argv", ["caretiers", str(tmp_path / "nowhere"), "--db", str(tmp_path / "db")])
     with pytest.raises(SystemExit, match="input does not exist"):

@@ -267,6 +267,8 @@ _YEARS_1994_2002 = HOLIDAYS.replace("YEARS", "SELECT y::INT AS y FROM range(1994
 ORACLES: dict[str, str] = {
     "bronze_entries": f"{_ALL_ENTRIES} SELECT * FROM entries",
     "bronze_resource_counts": f'{_ALL_ENTRIES} SELECT bronze_table, count(*) AS "rows" FROM entries GROUP BY bronze_table',
+    "bronze_totals": f"{_ALL_ENTRIES} SELECT count(DISTINCT bronze_table) AS types, count(*) AS resources FROM entries",
+    "extension_value": _select("source_bundle, CASE WHEN c_custkey % 4 <> 0 THEN nationality_code END AS code", PATIENT),
     "bronze_table_patient": _select(
         """source_bundle AS _source_bundle, 'Patient' AS "resourceType", id, birth_date AS "birthDate", phone,
         replace(address_line, ', ', '|') AS address_line,
@@ -420,6 +422,10 @@ FROM (
     "typed_select": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_custkey > 10",
     "typed_inheritance": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
     "typed_validate": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
+    "typed_from_dicts": """
+SELECT c_custkey, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 0 WHEN 'BUILDING' THEN 1 WHEN 'FURNITURE' THEN 2
+       WHEN 'HOUSEHOLD' THEN 3 WHEN 'MACHINERY' THEN 4 END::BIGINT AS code FROM customer""",
+    "sample_table": "SELECT least(count(*), 10) AS sampled, least(count(*), 10) AS found FROM orders",
     "typed_self_join": """
 SELECT a.o_orderkey, a.o_custkey AS left_custkey, b.o_orderstatus AS right_status
 FROM orders a JOIN orders b ON a.o_orderkey = b.o_orderkey""",

@@ -9,13 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caretiers import Col, TypedDataFrame
+from caretiers.contracts import NATIONALITY_EXTENSION
 from caretiers.functions import booleans, dates, fhir, holidays
 from caretiers.functions.text import normalize_municipality_name
 from caretiers.operators import cleaning
 from caretiers.operators.columns import with_columns
 from caretiers.operators.flatten import flatten_condition, flatten_observation, flatten_patient
 from caretiers.operators.validation import is_finite, validate_condition, validate_observation, validate_patient
-from caretiers.plans import gold, reports
+from caretiers.plans import gold, pipeline, reports
 from caretiers.sources import bundles, parquet, tables
 from workload.bundles import condition_bundles, every, observation_bundles, patient_bundles, table
 
@@ -114,6 +115,18 @@ def bronze_resource_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundles.resource_counts(_all_entries(spark, sf_dir))
 
 
+@query
+def bronze_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipeline.bronze_totals(bundles.resource_counts(_all_entries(spark, sf_dir)))
+
+
+@query
+def extension_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extensions = F.try_variant_get("resource", "$.extension", "array<variant>")
+    code = fhir.extract_extension_value(extensions, NATIONALITY_EXTENSION, ["valueCodeableConcept", "coding", 0, "code"])
+    return _bronze_patients(spark, sf_dir).select(F.col("_source_bundle").alias("source_bundle"), code.alias("code"))
+
+
 @query
 def bronze_table_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = bundles.nested_columns(_bronze_patients(spark, sf_dir))
@@ -321,8 +334,12 @@ def table_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sample_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Any ten rows are right, so the result is their number and how many of them the table has."""
     _register_tables(spark, sf_dir)
-    return tables.sample_table(spark, DATABASE, "orders")
+    sample = tables.sample_table(spark, DATABASE, "orders")
+    kept = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("price"))
+    found = sample.join(kept, (F.col("o_orderkey") == F.col("key")) & (F.col("o_totalprice") == F.col("price")), "left")
+    return found.agg(F.count("*").alias("sampled"), F.count("key").alias("found"))
 
 
 @query
@@ -488,6 +505,20 @@ def typed_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class Segment(TypedDataFrame):
+    c_mktsegment: Col[str]
+    code: Col[int]
+
+
+@query
+def typed_from_dicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer with the code of its market segment, the codes as a typed frame from dictionaries."""
+    names = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    segments = Segment.from_dicts([{"c_mktsegment": name, "code": code} for code, name in enumerate(names)])
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    return customers.join(segments.df, "c_mktsegment", "left").select("c_custkey", "code")
+
+
 def _with_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     return with_columns(customers, F.upper("c_name").alias("c_name"), key_and_nation=F.concat_ws("/", "c_custkey", "c_nationkey"))
