@@ -42,11 +42,14 @@ BLOCK_ROWS = 4095
 BITS = np.uint64(52)
 TOKEN = np.uint64((1 << 52) - 1)
 #: A shingle this often in a block of texts is reported as recurring.
-RECURS = 4
+RECURS = 2
 #: Most frequent recurring shingles that are ordered by count; the others go by hash. Sets the order only.
 ORDERED = 200_000
-#: Shingles in a chunk of a bucket.
-CHUNK = 400_000
+#: Shingles, and sets, in a chunk of a bucket.
+CHUNK = 2_000_000
+CHUNK_SETS = 4_000
+#: Bits that tell which texts are wanted, 8 MB in all. Too many wanted texts make them tell less, nothing worse.
+WANTED_BITS = 1 << 26
 
 
 def sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -301,6 +304,15 @@ def shingle_order(counted: DataFrame):
     return counted.sparkSession.sparkContext.broadcast(order)
 
 
+def maybe_wanted(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose key may be among ``keys``, by a bitmap of fixed size that is broadcast."""
+    place = f"pmod(key, {WANTED_BITS}L)"
+    maps = keys.groupBy(F.expr(f"bitmap_bucket_number({place})").alias("bucket")).agg(F.expr(f"bitmap_construct_agg(bitmap_bit_position({place}))").alias("bits"))
+    both = texts.join(F.broadcast(maps), F.expr(f"bitmap_bucket_number({place}) = bucket"))
+    byte = f"cast(conv(hex(substring(bits, cast(bitmap_bit_position({place}) div 8 as int) + 1, 1)), 16, 10) as int)"
+    return both.where(f"getbit({byte}, cast(bitmap_bit_position({place}) % 8 as int)) = 1").select("doc_id", "key", "text")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """For every row ``doc_id``, ``n`` (its number of shingles), ``sig`` (its class) and ``root`` (its component's)."""
     ship(docs.sparkSession)
@@ -312,7 +324,7 @@ def classes(docs: DataFrame) -> DataFrame:
     prefix = texts.mapInArrow(lambda it: prefixes(order, it), "token long, sig long, n int")
     shared = prefix.groupBy("token").agg(F.min("sig").alias("leader"), F.max("sig").alias("last")).where("leader < last").drop("last")
     members = stored(prefix.join(shared, "token").select("leader", "sig", "n").distinct())
-    sizes = members.groupBy("leader").agg(F.ceil(F.sum("n") / CHUNK).alias("chunks"))
+    sizes = members.groupBy("leader").agg(F.ceil(F.greatest(F.sum("n") / CHUNK, F.count("*") / CHUNK_SETS)).alias("chunks"))
     of_class = nodes.where("n > 0").groupBy("sig").agg(F.min(F.struct("doc_id", "key")).alias("owner"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
 
     def compared(placed: DataFrame) -> DataFrame:
@@ -320,7 +332,8 @@ def classes(docs: DataFrame) -> DataFrame:
         sketched = placed.join(of_class.select("sig", "n", "sketch"), "sig").repartition("leader", "chunk").sortWithinPartitions("leader", "chunk")
         left = stored(sketched.select("leader", "chunk", "sig", "n", "sketch").mapInArrow(hopeful, PLACED))
         named = left.join(of_class.select("sig", "owner"), "sig").alias("p")
-        rows = named.join(texts.alias("t"), F.expr("p.owner.key = t.key and p.owner.doc_id <=> t.doc_id")).select("leader", "chunk", "sig", "text")
+        wanted = maybe_wanted(texts, named.select("owner.key")).alias("t")
+        rows = named.join(wanted, F.expr("p.owner.key = t.key and p.owner.doc_id <=> t.doc_id")).select("leader", "chunk", "sig", "text")
         dealt = rows.repartition("leader", "chunk").sortWithinPartitions("leader", "chunk", "sig")
         return stored(dealt.mapInArrow(lambda it: bucket_links(order, it), "a long, b long"))
 
@@ -334,7 +347,7 @@ def classes(docs: DataFrame) -> DataFrame:
     apart = split.join(of_sig, "sig", "left").join(of_leader, "leader", "left").where("coalesce(own, sig) <> coalesce(led, leader)")
     apart = stored(apart.select("leader", "sig", "n", "chunks"))
     if not apart.isEmpty():
-        parts = apart.groupBy("leader").agg(F.ceil(F.sum("n") / CHUNK).alias("parts"))
+        parts = apart.groupBy("leader").agg(F.ceil(F.greatest(F.sum("n") / CHUNK, F.count("*") / CHUNK_SETS)).alias("parts"))
         chunk, part = "pmod(xxhash64(sig), chunks)", "pmod(xxhash64(sig, 1), parts)"
         all_members = split.join(parts, "leader").selectExpr("leader", "sig", f"{chunk} as i", "explode(sequence(0L, parts - 1)) as j")
         those_apart = apart.join(parts, "leader").selectExpr("leader", "sig", "explode(sequence(0L, chunks - 1)) as i", f"{part} as j")

@@ -87,6 +87,14 @@ def test_the_tables_documents(spark):
     assert got == {i: (sizes[k], ids[root[k]]) for k, i in enumerate(ids)}
 
 
+def test_bitmap_lets_every_wanted_text_through(spark):
+    texts = spark.range(20_000).selectExpr("id as doc_id", "xxhash64(id) as key", "cast(id as string) as text")
+    found = ngramjoin.maybe_wanted(texts, texts.where("doc_id % 50 = 3").select("key"))
+    ids = {r["doc_id"] for r in found.collect()}
+    assert set(range(3, 20_000, 50)) <= ids and len(ids) < 420
+    assert ngramjoin.maybe_wanted(texts, texts.where("false").select("key")).count() == 0
+
+
 def test_odd_rows_and_one_of_each_group(make):
     text = "one two three four five six seven"
     docs = make([(5, text), (3, text), (None, text), (7, text + " eight"), (3, text), (8, None), (9, ""), (None, "alone")]).selectExpr("*", "1 as n", "2 as sig", "3 as id")
