@@ -36,7 +36,7 @@ PATTERNS = {
     "ip": ("{d}", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
     "card": ("{d}", r"[0-9](?:[ -]?[0-9])++"),
     "phone": ("instr({t}, '+') > 0", r"\+[0-9][ ().0-9-]+[0-9]"),
-    "iban": ("{d}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
+    "iban": ("{d}", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"),
     "ssn": ("{d}", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "secret": ("{d}", r"(?<![A-Za-z0-9])[A-Za-z0-9]{16,128}(?![A-Za-z0-9])"),
 }
@@ -133,3 +133,48 @@ def find(docs: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(documents(spark, sf_dir))
+
+
+# A run of letters and digits, or of digits and hyphens, stands for the patterns with boundaries, which this SQL's
+# engine lacks.
+ORACLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+k(kind, o, re) AS (VALUES
+  ('email', 0, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'),
+  ('ip', 1, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
+  ('card', 2, '[0-9]([\x20-]?[0-9])+'),
+  ('phone', 3, '\+[0-9][\x20().0-9-]+[0-9]'),
+  ('iban', 4, '[A-Z]{2}[0-9]{2}( ?[A-Z0-9]{4}){2,7}( ?[A-Z0-9]{1,3})?'),
+  ('ssn', 5, '[0-9-]+'),
+  ('secret', 6, '[A-Za-z0-9]+')),
+f AS (SELECT doc_id, t, kind, o, regexp_extract_all(t, re) AS m, list_transform(string_split_regex(t, re), lambda x: length(x)) AS g FROM d, k),
+r AS (
+  SELECT doc_id, t, kind, o, unnest(m) AS v, unnest(list_transform(range(1, len(m) + 1), lambda i:
+           list_sum(g[1 : i]) + coalesce(list_sum(list_transform(m[1 : i - 1], lambda x: length(x))), 0))) AS s
+  FROM f WHERE len(m) > 0),
+proposed AS (
+  SELECT doc_id, t, kind, o, v, s::BIGINT AS s, (s + length(v))::BIGINT AS e, regexp_replace(v, '[^0-9]', '', 'g') AS digits
+  FROM r WHERE (kind <> 'ssn' OR regexp_full_match(v, '[0-9]{3}-[0-9]{2}-[0-9]{4}'))
+           AND (kind <> 'secret' OR length(v) BETWEEN 16 AND 128)),
+near AS (
+  SELECT *, lower(right(t[coalesce(lag(e) OVER (PARTITION BY doc_id, kind ORDER BY s), 0) + 1 : s], 40)) AS before FROM proposed),
+found AS (
+  SELECT doc_id, kind, o, s, e FROM near
+  WHERE CASE kind
+    WHEN 'email' THEN true
+    WHEN 'ip' THEN len(list_filter(string_split(v, '.'), lambda x: coalesce(try_cast(x AS HUGEINT), 256) > 255)) = 0
+    WHEN 'card' THEN length(digits) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda i:
+      digits[length(digits) + 1 - i]::INT * (2 - i % 2) - CASE WHEN digits[length(digits) + 1 - i]::INT * (2 - i % 2) > 9 THEN 9 ELSE 0 END)) % 10 = 0
+    WHEN 'phone' THEN length(digits) BETWEEN 9 AND 15
+    WHEN 'iban' THEN length(replace(v, ' ', '')) BETWEEN 15 AND 34 AND list_reduce(
+      list_prepend(0, list_transform(string_split(replace(v, ' ', '')[5:] || v[1:4], ''), lambda c: ascii(c) - CASE WHEN c BETWEEN '0' AND '9' THEN 48 ELSE 55 END)),
+      lambda a, x: (a * CASE WHEN x > 9 THEN 100 ELSE 10 END + x) % 97) = 1
+    WHEN 'ssn' THEN regexp_matches(before, 'ssn|social security|tax|sozialversicherung|seguridad social')
+    ELSE regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND (regexp_matches(v, '^(AKIA|ASIA)[A-Z0-9]{16}$')
+      OR regexp_matches(before, 'password|passwd|pwd|token|secret|api.?key|access.?key|credential')) END)
+SELECT d.doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip, count(*) FILTER (kind = 'card') AS n_card,
+       count(*) FILTER (kind = 'phone') AS n_phone,
+       sha256(coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o) FILTER (o < 4), '')) AS base_sha256,
+       coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o), '') AS spans
+FROM d LEFT JOIN found USING (doc_id) GROUP BY d.doc_id
+"""

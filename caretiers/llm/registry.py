@@ -17,6 +17,7 @@ QUERIES = {
     "op10_quality_rules": quality.query,
 }
 ORACLES = {
+    "op1_pii": pii.ORACLE,
     "op3_line_dedup": lines.ORACLE,
     "op4_benchmark_decontamination": decontam.ORACLE,
     "op10_quality_rules": quality.ORACLE,
