@@ -8,6 +8,7 @@ to the shredded variant in the Parquet scan.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +48,10 @@ def _read_fields(bronze: DataFrame | TypedDataFrame, fields: dict[str, tuple[str
     return as_resources(bronze).selectExpr("_source_file AS source_file", "_source_bundle AS source_bundle", *read)
 
 
+# Derived columns do not depend on the frame, and making hundreds of them takes longer than a small job,
+# so each set is made once.
+
+
 def _contract(df: DataFrame, contract: type[TypedDataFrame], columns: dict[str, Column]) -> DataFrame:
     """Exactly the columns of the contract (but its validation errors), in its order."""
     names = [name for name in contract.as_spark_schema().names if name != "validation_errors"]
@@ -67,24 +72,25 @@ def flatten_patient(bronze: DataFrame | TypedDataFrame) -> DataFrame:
             "identifier": ("identifier", f"array<{fhir.IDENTIFIER}>"),
         },
     )
+    return _contract(fields, C.Patient, _patient_columns())
+
+
+@cache
+def _patient_columns() -> dict[str, Column]:
     name, address, identifier = F.col("name"), F.col("address"), F.col("identifier")
-    return _contract(
-        fields,
-        C.Patient,
-        {
-            "family_name": fhir.extract_from_name_list(name, "family"),
-            "given_names": fhir.extract_from_name_list(name, "given"),
-            "full_name": fhir.extract_from_name_list(name, "text"),
-            "phone": fhir.extract_telecom(F.col("telecom"), "phone"),
-            "address_line": fhir.extract_address_field(address, "line"),
-            "city": fhir.extract_address_field(address, "city"),
-            "postal_code": fhir.extract_address_field(address, "postalCode"),
-            "country": fhir.extract_address_field(address, "country"),
-            "nationality_code": fhir.extract_extension_code(F.col("extension"), C.NATIONALITY_EXTENSION),
-            "identifier_eci": fhir.extract_identifier(identifier, C.IDENTIFIER_ECI),
-            "identifier_mr": fhir.extract_identifier(identifier, C.IDENTIFIER_MR),
-        },
-    )
+    return {
+        "family_name": fhir.extract_from_name_list(name, "family"),
+        "given_names": fhir.extract_from_name_list(name, "given"),
+        "full_name": fhir.extract_from_name_list(name, "text"),
+        "phone": fhir.extract_telecom(F.col("telecom"), "phone"),
+        "address_line": fhir.extract_address_field(address, "line"),
+        "city": fhir.extract_address_field(address, "city"),
+        "postal_code": fhir.extract_address_field(address, "postalCode"),
+        "country": fhir.extract_address_field(address, "country"),
+        "nationality_code": fhir.extract_extension_code(F.col("extension"), C.NATIONALITY_EXTENSION),
+        "identifier_eci": fhir.extract_identifier(identifier, C.IDENTIFIER_ECI),
+        "identifier_mr": fhir.extract_identifier(identifier, C.IDENTIFIER_MR),
+    }
 
 
 def flatten_condition(bronze: DataFrame | TypedDataFrame) -> DataFrame:
@@ -103,28 +109,29 @@ def flatten_condition(bronze: DataFrame | TypedDataFrame) -> DataFrame:
             "asserter_display": ("asserter.display", "string"),
         },
     )
-    fields = fields.withColumns(
-        {
-            "category_coding": fhir.extract_category_from_list(F.col("category")),
-            "coding": fhir.extract_first_coding(F.col("concept")),
-        }
-    )
-    return _contract(
-        fields,
-        C.Condition,
-        {
-            "patient_id": fhir.extract_reference_id(F.col("subject_reference")),
-            "category_code": F.col("category_coding.code"),
-            "category_display": F.col("category_coding.display"),
-            "code_system": F.col("coding.system"),
-            "code": F.col("coding.code"),
-            "code_display": F.col("coding.display"),
-            # Empty text is kept here, unlike in observations.
-            "code_text": F.col("concept.text"),
-            "onset_date": F.coalesce("onset", "onset_extra"),
-            "abatement_date": F.coalesce("abatement", "abatement_extra"),
-        },
-    )
+    shared, columns = _condition_columns()
+    return _contract(fields.withColumns(shared), C.Condition, columns)
+
+
+@cache
+def _condition_columns() -> tuple[dict[str, Column], dict[str, Column]]:
+    """What several columns use, and the columns."""
+    shared = {
+        "category_coding": fhir.extract_category_from_list(F.col("category")),
+        "coding": fhir.extract_first_coding(F.col("concept")),
+    }
+    return shared, {
+        "patient_id": fhir.extract_reference_id(F.col("subject_reference")),
+        "category_code": F.col("category_coding.code"),
+        "category_display": F.col("category_coding.display"),
+        "code_system": F.col("coding.system"),
+        "code": F.col("coding.code"),
+        "code_display": F.col("coding.display"),
+        # Empty text is kept here, unlike in observations.
+        "code_text": F.col("concept.text"),
+        "onset_date": F.coalesce("onset", "onset_extra"),
+        "abatement_date": F.coalesce("abatement", "abatement_extra"),
+    }
 
 
 def value_type(field: Callable[[str], Column]) -> Column:
@@ -210,42 +217,43 @@ def flatten_observation(bronze: DataFrame | TypedDataFrame) -> DataFrame:
         }
         | {name: (name, ddl) for name, ddl in _VALUES.items()},
     )
+    shared, columns = _observation_columns()
+    fields = fields.withColumns(shared).withColumn("category_coding", fhir.extract_first_coding(fhir.first(F.col("category"))))
+    return _contract(fields, C.Observation, columns)
+
+
+@cache
+def _observation_columns() -> tuple[dict[str, Column], dict[str, Column]]:
+    """What several columns use, and the columns."""
     concept, categories = F.col("concept"), F.col("category")
-    # What is used by several columns is derived once.
-    fields = fields.withColumns(
-        {
-            "category": fhir.iter_dict_list(categories),
-            "component": fhir.iter_dict_list(F.col("component")),
-            "coding": fhir.extract_first_coding(concept),
-            "reference": fhir.non_empty(F.col("reference")),
-            "performer_references": F.array_compact(
-                F.transform(fhir.iter_dict_list(F.col("performer")), fhir.extract_reference)
-            ),
-        }
-    ).withColumn("category_coding", fhir.extract_first_coding(fhir.first(categories)))
+    shared = {
+        "category": fhir.iter_dict_list(categories),
+        "component": fhir.iter_dict_list(F.col("component")),
+        "coding": fhir.extract_first_coding(concept),
+        "reference": fhir.non_empty(F.col("reference")),
+        "performer_references": F.array_compact(
+            F.transform(fhir.iter_dict_list(F.col("performer")), fhir.extract_reference)
+        ),
+    }
     coding, category_coding = F.col("coding"), F.col("category_coding")
-    return _contract(
-        fields,
-        C.Observation,
-        {
-            "subject_reference": F.col("reference"),
-            "subject_id": fhir.extract_reference_id(F.col("reference")),
-            "effective_datetime": effective_datetime(
-                [F.col("at"), F.col("at_instant"), F.col("at_time")], F.col("period_start"), F.col("period_end")
-            ),
-            "category_text": fhir.extract_code_text(fhir.first(categories)),
-            "category_system": category_coding.system,
-            "category_code": category_coding.code,
-            "category_display": category_coding.display,
-            "code_text": fhir.extract_code_text(concept),
-            "code_system": coding.system,
-            "code_code": coding.code,
-            "code_display": coding.display,
-            "performer_ids": F.array_compact(F.transform("performer_references", fhir.extract_reference_id)),
-            "code_codings": fhir.iter_codings(concept),
-            "category_codings": category_codings(categories),
-            "components": F.transform(F.col("component"), _component_row),
-            "component_count": F.size("component").cast("long"),
-        }
-        | value_columns(F.col),
-    )
+    columns = {
+        "subject_reference": F.col("reference"),
+        "subject_id": fhir.extract_reference_id(F.col("reference")),
+        "effective_datetime": effective_datetime(
+            [F.col("at"), F.col("at_instant"), F.col("at_time")], F.col("period_start"), F.col("period_end")
+        ),
+        "category_text": fhir.extract_code_text(fhir.first(categories)),
+        "category_system": category_coding.system,
+        "category_code": category_coding.code,
+        "category_display": category_coding.display,
+        "code_text": fhir.extract_code_text(concept),
+        "code_system": coding.system,
+        "code_code": coding.code,
+        "code_display": coding.display,
+        "performer_ids": F.array_compact(F.transform("performer_references", fhir.extract_reference_id)),
+        "code_codings": fhir.iter_codings(concept),
+        "category_codings": category_codings(categories),
+        "components": F.transform(F.col("component"), _component_row),
+        "component_count": F.size("component").cast("long"),
+    }
+    return shared, columns | value_columns(F.col)

@@ -7,6 +7,8 @@ rows are grouped: a bundle is as large as one table row.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,10 +47,19 @@ def _entry(resource: Column, full_url: Column | None = None) -> Column:
     return F.concat(F.lit("{"), *url, F.lit('"resource":'), resource, F.lit("}"))
 
 
+# The columns of the bundles hold for any tables, and making them takes longer than a small query, so
+# each set is made once.
+
+
 def patient_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
     nation = table(spark, sf_dir, "nation")
     customers = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return customers.select(*_of_customers())
+
+
+@cache
+def _of_customers() -> tuple[Column, ...]:
+    key = F.col("c_custkey")
     segment = F.col("c_mktsegment")
     gender = (
         F.when(segment == "AUTOMOBILE", "male")
@@ -90,7 +101,7 @@ def patient_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     organization = obj(resourceType="Organization", id=F.col("c_nationkey").cast("string"), name=nation_name)
-    return customers.select(
+    return (
         F.lit("customers.json").alias("source_file"),
         _bundle(
             F.concat(F.lit("bundle-"), key),
@@ -101,6 +112,11 @@ def patient_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def observation_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(*_of_orders())
+
+
+@cache
+def _of_orders() -> tuple[Column, ...]:
     key, status, priority = "o_orderkey", F.col("o_orderstatus"), F.col("o_orderpriority")
     customer, price = F.col("o_custkey"), F.col("o_totalprice")
     order_date = F.to_date("o_orderdate")
@@ -172,13 +188,18 @@ def observation_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     resource = F.concat(F.left(text, F.length(text) - 1), misfit)
     # Entries without a resource or a resource type; the loader leaves them out.
     unfinished = F.when(status == "P", F.lit('{"resource":null},{"resource":{"id":"x"}},{"resource":{"resourceType":""}}'))
-    return table(spark, sf_dir, "orders").select(
+    return (
         F.concat(F.lit("orders-"), F.substring(day, 1, 7), F.lit(".json")).alias("source_file"),
         _bundle(F.concat(F.lit("order-"), F.col(key)), _entry(resource), unfinished),
     )
 
 
 def condition_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(*_of_lines())
+
+
+@cache
+def _of_lines() -> tuple[Column, ...]:
     part, supplier, flag, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_returnflag"), F.col("l_linestatus")
     ship_date = F.to_date("l_shipdate")
     day = ship_date.cast("string")
@@ -208,7 +229,7 @@ def condition_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
         _abatementDateTime=F.when(flag == "R", obj(value="soon")),
         asserter=F.when(F.col("l_linenumber") == 1, obj(display=F.concat(F.lit("Dr "), supplier))),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return (
         F.concat(F.lit("lineitem-"), F.year(ship_date), F.lit(".json")).alias("source_file"),
         _bundle(F.concat_ws("-", F.lit("lines"), "l_orderkey"), _entry(F.to_json(condition))),
     )
