@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from array import array
 from functools import cache
+from unicodedata import is_normalized
 
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -21,11 +22,21 @@ _SPACE_AFTER_SPACE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level models read for each byte: itself where it prints, else one from 256 on."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
+
+
 class _Words(dict):
     """Word -> ids of the word after ``before``, as little-endian 32-bit integers."""
 
     def __init__(self, tokenizer: Tokenizer, before: str, folds_case: bool) -> None:
-        self.tokenizer, self.before, self.folds_case = tokenizer, before, folds_case
+        self.tokenizer, self.model, self.before, self.folds_case = tokenizer, tokenizer.model, before, folds_case
         self.old: dict[str, bytes] = {}
         self.ends = {c: self.ids(c) for c in ".,"}
         self.newline = self.ids("\n")
@@ -34,6 +45,12 @@ class _Words(dict):
     def ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def ids_of_letters(self, word: str) -> bytes:
+        """As ``ids``, for a word of Latin letters: it is one piece, so the model can be asked directly."""
+        text = word.lower() if self.folds_case else self.before + word
+        letters = text.encode().decode("latin-1").translate(_LETTERS)
+        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
+
     def __missing__(self, word: str) -> bytes:
         if "\n" in word:
             first, *rest = lines = word.split("\n")
@@ -49,6 +66,8 @@ class _Words(dict):
             found = self[word[:-1]] + self.ends[word[-1]]
         elif self.folds_case and word.isascii() and "<|" not in word and (lower := word.lower()) != word:
             found = self[lower]
+        elif word.isalpha() and max(word) < "\u0250" and word.lower().isalpha() and is_normalized("NFC", word):
+            found = self.ids_of_letters(word)
         else:
             found = self.ids(self.before + word)
         self[word] = found

@@ -26,6 +26,7 @@ def whole(name, texts, end):
 def test_cut_texts_have_the_ids_of_whole_texts(name):
     rng = random.Random(1)
     texts = ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, 12))) for _ in range(8000)]
+    texts += ["".join(rng.choice("aeßÀéłǅŉĳſΩ ʼn") for _ in range(6)) for _ in range(4000)]
     encoder = Encoder(name)
     for text, ids in zip(texts, whole(name, texts, 0), strict=True):
         assert encoder.encode(text) == ids[:-1].tobytes(), text
