@@ -7,8 +7,10 @@ matrix that counts a word among the first i entries, and suffix positions sample
 word and at each stretch's first. All test phrases are searched backwards together, a word a step; the
 rows of those that occur are walked back to a sampled position. Covered words merge into removal spans.
 
-Phrases are an item's windows of ``WINDOW`` words, or all its words if it has fewer. They go to every
-task, and their number is checked against ``MOST_PHRASES``; a larger benchmark is split by the caller.
+Phrases are an item's windows of ``WINDOW`` words, or all its words if it has fewer. Tasks over the
+benchmark write them in parts of at most ``PART_PHRASES``; an item with more is in several. The driver
+broadcasts one part after the other and holds one at a time. A shard is indexed once and searched for
+part after part; what the parts cover and find is united, so a benchmark may have any size.
 Null and empty texts and items have no words. Repeated rows are scanned one by one, items of equal id
 count once, items without an id still hit words. No shuffle, and a lost task is simply run again.
 """
@@ -16,44 +18,97 @@ count once, items without an id still hit words. No shuffle, and a lost task is
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from caretiers.llm.common import documents, ship
+from caretiers.llm.common import documents, ship, stored
 from caretiers.llm.wordhash import ALNUM, blocks, text_bytes, words
 
 WINDOW = 10
 SAMPLE = 8
 SHARD_BYTES = 8 << 20
-#: 10 million phrases are about 1 GB in each Python worker.
-MOST_PHRASES = 10_000_000
+#: Bytes of benchmark text that a task makes into phrases together (one item at least).
+PART_BYTES = 4 << 20
+#: Phrases in a part, about 50 MB in each Python worker.
+PART_PHRASES = 1_000_000
 
 
 class Phrases:
     """Distinct windows of benchmark items, by length, as numbers into the sorted hashes of their words."""
 
-    def __init__(self, items: list[tuple[str | None, str | None]]) -> None:
-        values, offsets = text_bytes(pa.array([t for _, t in items], pa.string()))
-        _, _, hashes, rows = words(values, offsets, ALNUM)
-        self.vocabulary, ids = np.unique(hashes, return_inverse=True)
-        self.items = np.array([str(i) if i is not None else "" for i, _ in items], object)
-        by_length: dict[int, list] = {}
-        for item, (a, b) in enumerate(zip(rows[:-1], rows[1:], strict=True)):
-            n = min(WINDOW, b - a)
-            if n:
-                view = np.lib.stride_tricks.sliding_window_view(ids[a:b], n)
-                by_length.setdefault(int(n), []).append((view, np.full(len(view), item)))
+    def __init__(self, hashes: np.ndarray, names: list[str], start: np.ndarray, size: np.ndarray, owner: np.ndarray) -> None:
+        used = np.unique(np.concatenate([hashes[start[size > k] + k] for k in range(WINDOW)]))
+        self.vocabulary = used
+        self.items = np.array(names, object)
         self.windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        for n, found in by_length.items():
-            every, owner = np.concatenate([w for w, _ in found]), np.concatenate([o for _, o in found])
+        for n in np.unique(size).tolist():
+            at, own = start[size == n], owner[size == n]
+            every = np.stack([np.searchsorted(used, hashes[at + k]) for k in range(n)], 1).astype(np.int32)
             distinct, which = np.unique(every, axis=0, return_inverse=True)
-            order = np.lexsort((owner, which.ravel()))
+            order = np.lexsort((own, which.ravel()))
             begins = np.searchsorted(which.ravel()[order], np.arange(len(distinct) + 1))
-            self.windows[n] = (distinct, begins, owner[order])
-        self.shortest = min(self.windows, default=WINDOW)
+            self.windows[n] = (distinct, begins, own[order].astype(np.int32))
+
+
+def parts_of(items: pa.RecordBatch, most: int) -> Iterator[Phrases]:
+    """The phrases of some items, at most ``most`` at a time."""
+    values, offsets = text_bytes(items.column("text"))
+    _, _, hashes, rows = words(values, offsets, ALNUM)
+    counts = np.diff(rows)
+    many = np.where(counts > 0, np.maximum(counts - WINDOW, 0) + 1, 0)
+    ends = np.cumsum(many)
+    names = np.array([str(i) if i is not None else "" for i in items.column("item_id").to_pylist()], object)
+    for a in range(0, int(many.sum()), most):
+        phrase = np.arange(a, min(a + most, int(ends[-1])))
+        owner = np.searchsorted(ends, phrase, "right")
+        start = rows[owner] + phrase - (ends - many)[owner]
+        yield Phrases(hashes, names[owner[0] : owner[-1] + 1].tolist(), start, np.minimum(counts[owner], WINDOW), owner - owner[0])
+
+
+def packed(limits: tuple[int, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each part: its number in the task, the words it has, and its phrases."""
+    number = 0
+    for block in blocks(batches, "text", limits[0]):
+        for part in parts_of(block, limits[1]):
+            words_of = [part.vocabulary.tobytes(), min(part.windows)]
+            row = [[number], *([pickle.dumps(x, pickle.HIGHEST_PROTOCOL)] for x in (words_of, part))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["number", "words", "phrases"])
+            number += 1
+
+
+class Benchmark:
+    """Broadcast parts, each in two: its words with its shortest phrase's length, and its phrases."""
+
+    def __init__(self, parts: list[tuple]) -> None:
+        self.parts = parts
+
+    def each(self, half: int) -> Iterator:
+        """One half of every part. Where there are many, none but the last one read is held."""
+        for part in self.parts:
+            yield pickle.loads(part[half].value)
+            if len(self.parts) > 1 and "_path" in vars(part[half]):
+                vars(part[half]).pop("_value", None)  # pyspark would hold it as long as the worker lives; it can be read from disk again
+
+    def known(self, hashes: np.ndarray) -> tuple[np.ndarray, int]:
+        """Which of some distinct words the benchmark has, and the length of its shortest phrase."""
+        found, shortest = np.zeros(len(hashes), bool), WINDOW
+        for vocabulary, least in self.each(0):
+            vocabulary = np.frombuffer(vocabulary, np.uint64)
+            found |= numbers(vocabulary, hashes) >= 0
+            shortest = min(shortest, least)
+        return found, shortest
+
+
+def numbers(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places of hashes in a sorted vocabulary, -1 for those that it lacks."""
+    if not len(vocabulary):
+        return np.full(len(hashes), -1)
+    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
+    return np.where(vocabulary[at] == hashes, at, -1)
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -149,22 +204,25 @@ def stretches(ids: np.ndarray, row_of: np.ndarray, shortest: int) -> tuple[np.nd
     return text, at
 
 
-def hits(phrases: Phrases, block: pa.RecordBatch):
-    """Of a shard: word starts and ends, rows, whether each word is hit, and the pairs (row, item) found."""
+def hits(benchmark: Benchmark, block: pa.RecordBatch):
+    """Of a shard: word starts and ends, rows, whether each word is hit, and the pairs (row, item's name) found."""
     values, offsets = text_bytes(block.column("text"))
     starts, ends, hashes, rows = words(values, offsets, ALNUM)
     row_of = np.repeat(np.arange(block.num_rows), np.diff(rows))
     cover = np.zeros(len(starts) + 1, np.int64)
-    pairs = [np.zeros((0, 2), np.int64)]
-    if len(phrases.vocabulary) and len(starts):
-        at = np.minimum(np.searchsorted(phrases.vocabulary, hashes), len(phrases.vocabulary) - 1)
-        ids = np.where(phrases.vocabulary[at] == hashes, at, -1)
-        text, word_of = stretches(ids, row_of, phrases.shortest)
-        if len(text):
-            index = FMIndex(text, len(phrases.vocabulary))
+    pairs = []
+    own, place = np.unique(hashes, return_inverse=True)
+    known, shortest = benchmark.known(own)
+    own = own[known]
+    text, word_of = stretches(np.where(known, np.cumsum(known) - 1, -1)[place], row_of, shortest)
+    if len(text):
+        index = FMIndex(text, len(own))
+        for phrases in benchmark.each(1):
+            ids = numbers(own, phrases.vocabulary)
             for n, (windows, begins, owners) in phrases.windows.items():
-                which, low, high = index.search(windows)
-                counts = high - low
+                held = np.flatnonzero((ids >= 0)[windows].all(1))
+                which, low, high = index.search(ids[windows[held]])
+                which, counts = held[which], high - low
                 suffixes = np.repeat(low - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
                 first = word_of[index.locate(suffixes)]
                 np.add.at(cover, first, 1)
@@ -172,18 +230,20 @@ def hits(phrases: Phrases, block: pa.RecordBatch):
                 found = np.unique(np.stack([row_of[first], np.repeat(which, counts)], 1), axis=0)
                 many = begins[found[:, 1] + 1] - begins[found[:, 1]]
                 at = np.repeat(begins[found[:, 1]] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-                pairs.append(np.stack([np.repeat(found[:, 0], many), owners[at]], 1))
-    return values, offsets, starts, ends, rows, np.cumsum(cover)[:-1] > 0, np.unique(np.concatenate(pairs), axis=0)
+                of = np.unique(np.stack([np.repeat(found[:, 0], many), owners[at]], 1), axis=0)
+                pairs.append((of[:, 0], phrases.items[of[:, 1]]))
+    return values, offsets, starts, ends, rows, np.cumsum(cover)[:-1] > 0, pairs
 
 
-def report(phrases, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def report(benchmark: Benchmark, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in blocks(batches, "text", SHARD_BYTES):
-        _, _, _, _, rows, hit, pairs = hits(phrases.value, block)
+        _, _, _, _, rows, hit, pairs = hits(benchmark, block)
         summed = np.concatenate([[0], np.cumsum(hit)])
         n_hit = summed[rows[1:]] - summed[rows[:-1]]
-        names = phrases.value.items[pairs[:, 1]]
-        cut = np.searchsorted(pairs[:, 0], np.arange(block.num_rows + 1))
-        found = [sorted({x for x in names[a:b] if x}) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        names: list[set[str]] = [set() for _ in range(block.num_rows)]
+        for row, name in (x for of in pairs for x in zip(*of, strict=True)):
+            names[row].add(name)
+        found = [sorted(x for x in own if x) for own in names]
         yield pa.RecordBatch.from_arrays(
             [
                 block.column("doc_id"),
@@ -197,9 +257,9 @@ def report(phrases, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         )
 
 
-def cleaned(phrases, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def cleaned(benchmark: Benchmark, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in blocks(batches, "text", SHARD_BYTES):
-        values, offsets, starts, ends, rows, hit, _ = hits(phrases.value, block)
+        values, offsets, starts, ends, rows, hit, _ = hits(benchmark, block)
         row_of = np.repeat(np.arange(block.num_rows), np.diff(rows))
         joined = np.zeros(len(hit) + 1, bool)  # to the word before, in the same removal span
         joined[1:-1] = hit[1:] & hit[:-1] & (row_of[1:] == row_of[:-1])
@@ -220,27 +280,32 @@ def cleaned(phrases, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield block
 
 
-def phrases_of(benchmark: DataFrame):
-    """The phrases of all items, checked in size and broadcast."""
+def shared(benchmark: DataFrame, part_bytes: int = PART_BYTES, part_phrases: int = PART_PHRASES) -> Benchmark:
+    """The phrases of all items, made by tasks and broadcast part by part."""
     spark = benchmark.sparkSession
     ship(spark)
-    n = benchmark.selectExpr("coalesce(sum(length(text)), 0) as n").first()["n"]
-    if n > 2 * MOST_PHRASES:
-        raise ValueError(f"{n} characters of benchmark items are too many for one scan; scan for parts of them in turn")
-    return spark.sparkContext.broadcast(Phrases([(r[0], r[1]) for r in benchmark.select("item_id", "text").collect()]))
+    n = benchmark.selectExpr("coalesce(sum(octet_length(text)), 0) as n").first()["n"]
+    items = benchmark.select("item_id", "text").coalesce(1 + int(n) // part_bytes)
+    made = items.mapInArrow(lambda it: packed((part_bytes, part_phrases), it), "number long, words binary, phrases binary")
+    made = stored(made.selectExpr("spark_partition_id() as task", "*"))
+    parts = []
+    for task, number in sorted(map(tuple, made.select("task", "number").collect())):
+        row = made.where(f"task = {task} and number = {number}").select("words", "phrases").first()
+        parts.append(tuple(spark.sparkContext.broadcast(bytes(x)) for x in row))
+    return Benchmark(parts)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """For every row its words, hit words, the items found (count and digest), and whether any was hit."""
-    phrases = phrases_of(benchmark)
+    parts = shared(benchmark)
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    return docs.selectExpr("cast(doc_id as bigint) as doc_id", "text").mapInArrow(lambda it: report(phrases, it), schema)
+    return docs.selectExpr("cast(doc_id as bigint) as doc_id", "text").mapInArrow(lambda it: report(parts, it), schema)
 
 
 def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` with removal spans cut out of ``text``; ``n_chars`` follows where it is a column."""
-    phrases = phrases_of(benchmark)
-    return docs.mapInArrow(lambda it: cleaned(phrases, it), docs.schema)
+    parts = shared(benchmark)
+    return docs.mapInArrow(lambda it: cleaned(parts, it), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

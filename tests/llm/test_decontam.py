@@ -79,3 +79,30 @@ def test_index_counts_and_locates():
         at = np.flatnonzero(which == k)
         got = sorted(index.locate(np.arange(low[at[0]], high[at[0]]))) if len(at) else []
         assert got == want
+
+
+def test_a_benchmark_of_many_parts(spark, make, monkeypatch):
+    rng = random.Random(7)
+
+    def text(n):
+        return " ".join(rng.choice(["a", "b", "É", "3", "the", "x9", "ñ", f"q{rng.randint(0, 50)}"]) for _ in range(n))
+
+    items = [(i, text(rng.randint(0, 30))) for i in range(40)] + [(90, text(300)), (90, "b a 3"), (91, None), (None, "the a the")]
+    texts = [text(40) + " " + (items[k % 42][1] or "") + " " + text(20) for k in range(60)] + [items[40][1], None, ""]
+    monkeypatch.setattr(decontam.shared, "__defaults__", (200, 16))
+    benchmark = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    assert len(decontam.shared(benchmark).parts) > 20
+    run(spark, make, texts, items[:-1])
+    left = {r["doc_id"]: r["text"] for r in decontam.remove(make(list(enumerate(texts))), benchmark).collect()}
+    for k, t in enumerate(texts):
+        n_words, n_hit, *_ = brute(t, items)
+        assert len(split(left[k])) == n_words - n_hit
+
+
+def test_a_benchmark_of_more_than_twenty_million_characters(spark, make):
+    item = "one two three four five six seven eight nine ten eleven"
+    items = spark.range(21).selectExpr("id as item_id", f"concat(repeat(concat(repeat('x', 9999), ' '), 100), '{item} ', id, ' twelve') as text")
+    docs = make([(1, f"Keep this. {item} 20 twelve! And this."), (2, "clean")])
+    got = {r["doc_id"]: r for r in decontam.scan(docs, items).collect()}
+    assert (got[1]["n_hit"], got[1]["n_items"], got[2]["n_hit"]) == (13, 21, 0)
+    assert {r["doc_id"]: r["text"] for r in decontam.remove(docs, items).collect()}[1] == "Keep this. ! And this."
