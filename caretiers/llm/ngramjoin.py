@@ -365,7 +365,10 @@ def link(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` but for those of a component with a smaller id. Rows without an id stay."""
+    """The rows of ``docs`` but for those of a component with a smaller id.
+
+    Rows without an id stay, and so do all rows that share a component's smallest id.
+    """
     gone = link(docs).where("component_id < doc_id").select(F.col("doc_id").alias("id")).distinct()
     return docs.alias("d").join(gone.alias("g"), F.expr("d.doc_id = g.id"), "left_anti")
 
