@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import duckdb
@@ -100,3 +101,36 @@ def test_placement_equals_the_rule(make, spark, tmp_path):
     sharding.write_shards(docs, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 302 and set(docs.columns) < set(back.columns)
+
+
+def shingled(text):
+    w = re.sub(r"[\W_]+", " ", (text or "").lower()).split()
+    return [tuple(w[i : i + 5]) for i in range(len(w) - 4)] or ([tuple(w)] if w else [])
+
+
+def licences_by_brute_force(text, wanted):
+    """Templates of whose shingles a window of some template's length, half as long again, holds enough."""
+    every, found = shingled(text), set()
+    longest = max((3 * len(w) + 1) // 2 for w in wanted.values())
+    known = set().union(*wanted.values())
+    for k in (k for k, s in enumerate(every) if s in known):
+        held = set(every[k : k + longest])
+        found |= {name for name, w in wanted.items() if len(held & w) >= licenses.CONTAINMENT * len(w)}
+    return ",".join(sorted(found))
+
+
+def test_licences_equal_an_exact_search(make, spark):
+    wanted = {name: set(shingled(text)) for name, text in licenses.TEMPLATES.items()}
+    texts = []
+    for text in licenses.TEMPLATES.values():
+        w = text.split()
+        for cut in range(0, len(w) // 2, max(1, len(w) // 24)):
+            middle = len(w) // 3
+            texts += [" ".join(w[cut:]), " ".join(w[: len(w) - cut]), " ".join(w[:middle] + ["other"] * cut + w[middle + cut :])]
+    filler = "some other words stand here and there "
+    rows = [(i, filler * (i % 4) + t + " " + filler * (i % 3)) for i, t in enumerate(texts)]
+    rows += [(100_000 + r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    want = {i: licences_by_brute_force(t, wanted) for i, t in rows}
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan(make(rows)).collect()}
+    assert got == want
+    assert 0.3 < sum(want[i] != "" for i in range(len(texts))) / len(texts) < 0.95
