@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caretiers.llm import decontam, licenses, lines, ngramjoin, packing, pii, quality, sharding, suffixes, tokenfiles
+from caretiers.llm import decontam, licenses, lines, ngramjoin, packing, pii, quality, resampling, sharding, suffixes, tokenfiles
 
 QUERIES = {
     "op1_pii": pii.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_sharding": sharding.query,
     "op9_ngram_jaccard_join": ngramjoin.query,
     "op10_quality_rules": quality.query,
+    "op12_target_resampling": resampling.query,
 }
 ORACLES = {
     "op1_pii": pii.ORACLE,
