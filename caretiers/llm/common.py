@@ -7,6 +7,7 @@ import uuid
 import zipfile
 from functools import reduce
 from pathlib import Path
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,11 +56,61 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def _at(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), name
+
+
+def temporary(spark: SparkSession, path: str) -> None:
+    """A folder that was written goes when the application ends, unless it is deleted before."""
+    system, name = _at(spark, path)
+    system.deleteOnExit(name)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """The folder goes now."""
+    system, name = _at(spark, path)
+    system.delete(name, True)
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """The rows written as Parquet to a shared folder and read back: lineage ends here."""
-    path = shared_dir(df.sparkSession)
+    """The rows written as Parquet to a shared folder and read back: lineage ends here.
+
+    The folder goes with ``discard``, at the latest when the application ends.
+    """
+    spark, path = df.sparkSession, shared_dir(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    temporary(spark, path)
+    read = spark.read.schema(df.schema).parquet(path)
+    read.stored_at = path
+    return read
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes what ``stored`` wrote for these frames; nothing made of them can be read after that."""
+    for df in frames:
+        delete(df.sparkSession, df.stored_at)
+
+
+def share(total: int) -> int:
+    """Rows of a key that may meet in one task: a ten-thousandth of all, or 1000 in small tables."""
+    return max(1000, total // 10_000)
+
+
+def spread_join(rows: DataFrame, small: DataFrame, key: str, size: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``small`` on ``key``, where hot keys are split over many tasks at any size.
+
+    ``small`` has one row for each key, and in ``size`` how many of ``rows`` have that key. A key with more
+    than ``share`` rows is copied once for each share of them, and its rows are dealt over the copies.
+    At most 10,000 keys are so hot; only these are broadcast, with their number of copies.
+    """
+    total = small.agg(F.sum(size)).first()[0] or 0
+    most = share(total)
+    hot = small.where(F.col(size) > most).select(key, F.expr(f"`{size}` div {most} + 1").alias("_copies"))
+    copied = small.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"if(`{size}` > {most}, `{size}` div {most}, 0)"))))
+    dealt = rows.withColumn("_row", F.monotonically_increasing_id()).join(F.broadcast(hot), key, "left")
+    dealt = dealt.withColumn("_copy", F.coalesce(F.pmod("_row", "_copies"), F.lit(0).cast("bigint"))).drop("_row", "_copies")
+    return dealt.join(copied, [key, "_copy"], how).drop("_copy")
 
 
 def all_of(conditions: list[Column]) -> Column:

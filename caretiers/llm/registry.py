@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caretiers.llm import decontam, licenses, lines, ngramjoin, packing, pii, quality, resampling, sharding, suffixes, tokenfiles
+from caretiers.llm import alignment, decontam, katz, licenses, lines, ngramjoin, packing, pii, quality, resampling, sharding, suffixes, tokenfiles
 
 QUERIES = {
     "op1_pii": pii.query,
@@ -15,7 +15,9 @@ QUERIES = {
     "op8_sharding": sharding.query,
     "op9_ngram_jaccard_join": ngramjoin.query,
     "op10_quality_rules": quality.query,
+    "op11_katz_scores": katz.query,
     "op12_target_resampling": resampling.query,
+    "op13_tokenizer_alignment": alignment.query,
 }
 ORACLES = {
     "op1_pii": pii.ORACLE,
