@@ -7,7 +7,7 @@ to the shredded variant in the Parquet scan.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import cache
 
 from pyspark.sql import Column, DataFrame
@@ -43,9 +43,29 @@ def as_resources(bronze: DataFrame | TypedDataFrame) -> DataFrame:
     return bronze.select(*lineage, F.to_variant_object(fields).alias("resource"))
 
 
-def _read_fields(bronze: DataFrame | TypedDataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
-    read = [f"try_variant_get(resource, '$.{path}', '{ddl}') AS {name}" for name, (path, ddl) in fields.items()]
-    return as_resources(bronze).selectExpr("_source_file AS source_file", "_source_bundle AS source_bundle", *read)
+def _read_fields(bronze: DataFrame | TypedDataFrame, fields: dict[str, tuple[str, str]], at_once: bool) -> DataFrame:
+    """The JSON fields by name, from their paths with their types.
+
+    A stored variant is shredded, and each path read from it is a Parquet column of its own. A variant that was
+    just parsed is walked once for each path, so all fields are taken ``at_once``, as one struct.
+    """
+    resources = as_resources(bronze)
+    if not at_once:
+        read = [f"try_variant_get(resource, '$.{path}', '{ddl}') AS {name}" for name, (path, ddl) in fields.items()]
+        return resources.selectExpr("_source_file AS source_file", "_source_bundle AS source_bundle", *read)
+    whole = resources.selectExpr("_source_file", "_source_bundle", f"try_variant_get(resource, '$', '{_shape(fields.values())}') AS fields")
+    read = [f"fields.{path} AS {name}" for name, (path, _) in fields.items()]
+    return whole.selectExpr("_source_file AS source_file", "_source_bundle AS source_bundle", *read)
+
+
+def _shape(fields: Iterable[tuple[str, str]]) -> str:
+    """The struct that holds all paths with their types."""
+    inner: dict[str, list[tuple[str, str]]] = {}
+    for path, ddl in fields:
+        head, _, rest = path.partition(".")
+        inner.setdefault(head, []).append((rest, ddl))
+    parts = [f"{head}:{below[0][1] if not below[0][0] else _shape(below)}" for head, below in inner.items()]
+    return f"struct<{','.join(parts)}>"
 
 
 # Derived columns do not depend on the frame, and making hundreds of them takes longer than a small job,
@@ -58,7 +78,7 @@ def _contract(df: DataFrame, contract: type[TypedDataFrame], columns: dict[str,
     return df.select(*[columns[name].alias(name) if name in columns else name for name in names])
 
 
-def flatten_patient(bronze: DataFrame | TypedDataFrame) -> DataFrame:
+def flatten_patient(bronze: DataFrame | TypedDataFrame, at_once: bool = False) -> DataFrame:
     fields = _read_fields(
         bronze,
         {
@@ -71,6 +91,7 @@ def flatten_patient(bronze: DataFrame | TypedDataFrame) -> DataFrame:
             "extension": ("extension", f"array<{fhir.EXTENSION}>"),
             "identifier": ("identifier", f"array<{fhir.IDENTIFIER}>"),
         },
+        at_once,
     )
     return _contract(fields, C.Patient, _patient_columns())
 
@@ -93,7 +114,7 @@ def _patient_columns() -> dict[str, Column]:
     }
 
 
-def flatten_condition(bronze: DataFrame | TypedDataFrame) -> DataFrame:
+def flatten_condition(bronze: DataFrame | TypedDataFrame, at_once: bool = False) -> DataFrame:
     fields = _read_fields(
         bronze,
         {
@@ -108,6 +129,7 @@ def flatten_condition(bronze: DataFrame | TypedDataFrame) -> DataFrame:
             "abatement_extra": ("_abatementDateTime.value", "string"),
             "asserter_display": ("asserter.display", "string"),
         },
+        at_once,
     )
     shared, columns = _condition_columns()
     return _contract(fields.withColumns(shared), C.Condition, columns)
@@ -197,7 +219,7 @@ def _component_row(component: Column, index: Column) -> Column:
     return F.struct(*[column.alias(name) for name, column in columns.items()])
 
 
-def flatten_observation(bronze: DataFrame | TypedDataFrame) -> DataFrame:
+def flatten_observation(bronze: DataFrame | TypedDataFrame, at_once: bool = False) -> DataFrame:
     fields = _read_fields(
         bronze,
         {
@@ -216,6 +238,7 @@ def flatten_observation(bronze: DataFrame | TypedDataFrame) -> DataFrame:
             "component": ("component", f"array<{_COMPONENT}>"),
         }
         | {name: (name, ddl) for name, ddl in _VALUES.items()},
+        at_once,
     )
     shared, columns = _observation_columns()
     fields = fields.withColumns(shared).withColumn("category_coding", fhir.extract_first_coding(fhir.first(F.col("category"))))

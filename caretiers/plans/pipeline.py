@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,8 @@ from caretiers.operators.flatten import flatten_condition, flatten_observation,
 from caretiers.operators.validation import validate_condition, validate_observation, validate_patient
 from caretiers.plans import reports
 from caretiers.plans.gold import build_observations_per_patient
-from caretiers.sources.bundles import load_bronze_bundles
+from caretiers.sources import files
+from caretiers.sources.bundles import explode_entries, load_bronze_bundles, stream_bundles
 from caretiers.sources.tables import Warehouse
 
 GOLD_TABLE = "observations_per_patient"
@@ -28,9 +30,38 @@ class Silver:
     observation: C.Observation
 
 
-def run_bronze(warehouse: Warehouse, path: str, lines: bool = False) -> DataFrame:
-    """Load bundles into the bronze tables; gives rows per table."""
-    warehouse.write_bronze(load_bronze_bundles(warehouse.spark, path, lines))
+def run_bronze(warehouse: Warehouse, path: str, lines: bool = False, quarantine: bool = False, names: str = "*.json") -> DataFrame:
+    """Load bundles into the bronze tables; gives rows per table. ``warehouse.malformed()`` has what ``quarantine`` kept."""
+    warehouse.write_bronze(load_bronze_bundles(warehouse.spark, path, lines, quarantine, names))
+    return warehouse.summary(C.Schema.BRONZE)
+
+
+def run_bronze_new(
+    warehouse: Warehouse,
+    path: str,
+    lines: bool = False,
+    quarantine: bool = False,
+    names: str = "*.json",
+    files_at_once: int = 100_000,
+) -> DataFrame:
+    """Add the files of a directory that no earlier call has added; gives rows per table.
+
+    Which files were added is kept beside the tables, for each directory of bundles. At most ``files_at_once``
+    files are one load. A call that fails may be repeated: a load is in the tables whole or not at all, and
+    only once. A file that changes after it was added is not read again, and ``run_bronze`` does not count as
+    adding, so use one or the other for a directory.
+    """
+    spark, entries = warehouse.spark, explode_entries(stream_bundles(warehouse.spark, path, lines, quarantine, names, files_at_once))
+    source = hashlib.sha256(files.qualified(spark, path.rstrip("/")).encode()).hexdigest()[:16]
+
+    def add(batch: DataFrame, number: int) -> None:
+        # A stream's own session has this off, for state; there is none here.
+        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", spark.conf.get("spark.sql.adaptive.enabled"))
+        warehouse.add_bronze(batch, f"{source}-{number}")
+
+    added = entries.writeStream.foreachBatch(add)
+    checkpoint = f"{warehouse.path(C.Schema.BRONZE)}/_added/{source}"
+    added.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return warehouse.summary(C.Schema.BRONZE)
 
 
@@ -89,14 +120,19 @@ def run_pipeline(
     lines: bool = False,
     debug: bool = False,
     as_of: datetime.date | None = None,
+    new: bool = False,
+    quarantine: bool = False,
 ) -> None:
     """All layers with their reports. Silver is stored only with ``debug``.
 
+    ``new`` adds the bundles of new files to those of earlier calls. ``quarantine`` keeps malformed bundles aside.
     Nothing is cached: bronze is stored shredded, and each report or gold pass reads only the
     JSON fields it needs from it.
     """
     warehouse = Warehouse(spark, root)
-    print_bronze_summary(run_bronze(warehouse, path, lines))
+    print_bronze_summary((run_bronze_new if new else run_bronze)(warehouse, path, lines, quarantine))
+    if quarantine:
+        print(f"malformed bundles: {warehouse.malformed().count()}")
     silver = run_silver(warehouse)
     if debug:
         silver = save_silver_tables(warehouse, silver)

@@ -12,10 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caretiers.operators.flatten import LINEAGE
-from caretiers.sources.files import is_directory, matches
+from caretiers.sources import files
 
-#: Characters with a meaning in path patterns.
-GLOB = re.compile(r"[\[\]{}*?\\]")
 BUNDLE = "id string, entry array<struct<fullUrl:string,resource:variant>>"
 BRONZE = "_source_file string, _source_bundle string, _full_url string, resource variant"
 
@@ -25,19 +23,56 @@ def _file_name() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
-def read_bundles(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Bundles of all ``*.json`` files in a directory (subdirectories are not read), or of one file
-    of any name.
+#: Where the rows of malformed bundles go. No table of a resource type has this name.
+MALFORMED = "malformed-bundles"
+
+
+def _options(lines: bool, quarantine: bool) -> dict[str, str]:
+    mode = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"} if quarantine else {"mode": "FAILFAST"}
+    return mode | {"multiLine": str(not lines)}
+
+
+def _schema(quarantine: bool) -> str:
+    return f"{BUNDLE}, malformed string" if quarantine else BUNDLE
+
+
+def _columns(quarantine: bool) -> list[Column | str]:
+    return [_file_name().alias("source_file"), "id", "entry", *["malformed"] * quarantine]
+
+
+def read_bundle_files(spark: SparkSession, pattern: str, lines: bool = False, quarantine: bool = False) -> DataFrame:
+    """Bundles of all files that a path pattern matches. Other arguments are those of ``read_bundles``."""
+    return spark.read.schema(_schema(quarantine)).options(**_options(lines, quarantine)).json(pattern).select(*_columns(quarantine))
+
+
+def read_bundles(spark: SparkSession, path: str, lines: bool = False, quarantine: bool = False, names: str = "*.json") -> DataFrame:
+    """Bundles of all files in a directory whose names match ``names`` (subdirectories are not read),
+    or of one file of any name.
 
     ``lines`` reads files with one bundle per line. They can be split over tasks, so prefer them
-    for large imports. Malformed JSON fails the job.
+    for large imports. Malformed JSON fails the job; with ``quarantine`` it becomes a row whose column
+    ``malformed`` has the text (of the file, or of the line), and that is null for good bundles.
     """
-    reader = spark.read.schema(BUNDLE).option("multiLine", not lines).option("mode", "FAILFAST")
-    if is_directory(spark, path):
-        path = f"{GLOB.sub(r'\\\g<0>', path.rstrip('/'))}/*.json"
-        if not matches(spark, path):
-            return spark.createDataFrame([], f"source_file string, {BUNDLE}")
-    return reader.json(path).select(_file_name().alias("source_file"), "id", "entry")
+    pattern = files.escaped(path.rstrip("/"))
+    if files.is_directory(spark, path):
+        pattern = f"{pattern}/{names}"
+        if not files.matches(spark, pattern):
+            return spark.createDataFrame([], f"source_file string, {_schema(quarantine)}")
+    return read_bundle_files(spark, pattern, lines, quarantine)
+
+
+def stream_bundles(
+    spark: SparkSession, path: str, lines: bool = False, quarantine: bool = False, names: str = "*.json", files_at_once: int = 100_000
+) -> DataFrame:
+    """The files of a directory as a stream, as ``read_bundles`` reads them, at most ``files_at_once`` in a batch."""
+    reader = spark.readStream.schema(_schema(quarantine)).options(**_options(lines, quarantine)).option("maxFilesPerTrigger", files_at_once)
+    # Without an age limit a file that is much older than the newest one would be left out.
+    reader = reader.option("maxFileAge", "36500d")
+    directory = files.escaped(path.rstrip("/"))
+    if directory != path.rstrip("/"):
+        # Spark 4.1 reads every file of a batch once for each file in it, if the directory's name has pattern characters.
+        reader = reader.option("maxFilesPerTrigger", 1)
+    return reader.json(f"{directory}/{names}").select(*_columns(quarantine))
 
 
 def parse_bundles(df: DataFrame, text: str = "bundle", source_file: str = "source_file") -> DataFrame:
@@ -63,31 +98,42 @@ def explode_entries(bundles: DataFrame) -> DataFrame:
     """Bronze rows of all bundles: ``bronze_table``, lineage and the resource.
 
     Entries without a resource type are left out. A resource that itself has a field named like a
-    lineage column keeps its own value.
+    lineage column keeps its own value. A malformed bundle is one row of the table ``MALFORMED``, with its
+    text as the resource.
     """
+    malformed = ["malformed"] if "malformed" in bundles.columns else []
     # The outer form, because the optimiser filters on the array before a plain explode, and
     # would parse bundles held as text once more for that. The empty rows have no type.
-    entries = bundles.selectExpr("source_file", "id", "explode_outer(entry) AS entry").selectExpr(
+    # What could be read of a malformed bundle is not used: it is one row.
+    entry = "explode_outer(if(malformed IS NULL, entry, NULL)) AS entry" if malformed else "explode_outer(entry) AS entry"
+    entries = bundles.selectExpr("source_file", "id", entry, *malformed).selectExpr(
         "source_file",
         "id",
+        *malformed,
         "entry.fullUrl AS full_url",
         "entry.resource AS resource",
         "try_variant_get(entry.resource, '$.resourceType', 'string') AS resource_type",
     )
     own = "struct<" + ",".join(f"{name}:variant" for name in LINEAGE) + ">"
-    typed = entries.where("resource_type <> ''").selectExpr("*", f"try_variant_get(resource, '$', '{own}') AS own")
+    wanted = "resource_type <> ''" + (" OR malformed IS NOT NULL" if malformed else "")
+    typed = entries.where(wanted).selectExpr("*", f"try_variant_get(resource, '$', '{own}') AS own")
     lineage = [
         f"CASE WHEN own.{name} IS NULL THEN {given} ELSE try_variant_get(own.{name}, '$', 'string') END AS {name}"
         for name, given in zip(LINEAGE, ["source_file", "id", "full_url"], strict=True)
     ]
+    if not malformed:
+        return typed.select(table_name(F.col("resource_type")).alias("bronze_table"), *[F.expr(column) for column in lineage], "resource")
+    bad = F.col("malformed").isNotNull()
     return typed.select(
-        table_name(F.col("resource_type")).alias("bronze_table"), *[F.expr(column) for column in lineage], "resource"
+        F.when(bad, MALFORMED).otherwise(table_name(F.col("resource_type"))).alias("bronze_table"),
+        *[F.expr(column) for column in lineage],
+        F.when(bad, F.col("malformed").cast("variant")).otherwise(F.col("resource")).alias("resource"),
     )
 
 
-def load_bronze_bundles(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+def load_bronze_bundles(spark: SparkSession, path: str, lines: bool = False, quarantine: bool = False, names: str = "*.json") -> DataFrame:
     """Bronze rows of a directory of bundles (or one file), all resource types in one frame."""
-    return explode_entries(read_bundles(spark, path, lines))
+    return explode_entries(read_bundles(spark, path, lines, quarantine, names))
 
 
 load_bronze_bundle_file = load_bronze_bundles

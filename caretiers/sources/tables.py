@@ -2,24 +2,34 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from caretiers.contracts import Schema
 from caretiers.sources import files
-from caretiers.sources.bundles import BRONZE, table_name_of
+from caretiers.sources.bundles import BRONZE, MALFORMED, table_name_of
 from caretiers.typed import TypedDataFrame, plain
 
 
+#: Of each layer, which directories are its tables' rows. Files with such names are not read as data.
+MANIFEST = "_manifest.json"
+
+
 def quote(*parts: str) -> str:
     """Quoted, dotted SQL name."""
     return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
 
 
+def _literal(text: str) -> str:
+    """Text as a literal of SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def ensure_schema(spark: SparkSession, schema: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(schema)}")
 
@@ -58,9 +68,14 @@ def sample_table(spark: SparkSession, schema: str, table: str, rows: int = 10) -
 class Warehouse:
     """The layers' tables as Parquet directories under ``root``, registered in the catalog.
 
-    Rows are written and read by path. The catalog gets a table for each directory, in databases named
-    ``prefix`` and the layer, for SQL; a table of that name which lies elsewhere is never replaced.
-    Opening the same root in another session finds its rows again.
+    Rows are written to new directories and become a table's rows when the layer's manifest, a small file
+    that lists each table's directories, is replaced. A write that fails changes nothing: readers and later
+    sessions see the rows from before it. What the manifest of the write before last listed, and what failed
+    writes left, is deleted by the next one. One application writes to a layer at a time.
+
+    Bronze has a directory for each load and type. A type's tables in the catalog are partitioned by ``load``.
+    The catalog's tables are in databases named ``prefix`` and the layer, for SQL; a table of that name which
+    lies elsewhere is never replaced. Opening the same root in another session finds its rows again.
     """
 
     def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
@@ -73,19 +88,27 @@ class Warehouse:
     def database(self, schema: str) -> str:
         return f"{self.prefix}{schema}"
 
-    def path(self, schema: str, table: str) -> str:
-        return f"{self.root}/{schema}/bronze_table={table}" if schema == Schema.BRONZE else f"{self.root}/{schema}/{table}"
+    def path(self, schema: str) -> str:
+        return f"{self.root}/{schema}"
+
+    def manifest(self, schema: str) -> dict[str, list[str]]:
+        """The directories of each table, relative to the layer's."""
+        text = files.read_text(self.spark, f"{self.path(schema)}/{MANIFEST}")
+        return json.loads(text) if text else {}
+
+    def places(self, schema: str, table: str) -> list[str]:
+        return [f"{self.path(schema)}/{place}" for place in self.manifest(schema).get(table, [])]
 
     def tables(self, schema: str) -> list[str]:
-        """Names of the layer's stored tables, from the directories; no data is read."""
-        start = "bronze_table=" if schema == Schema.BRONZE else ""
-        names = files.directories(self.spark, f"{self.root}/{schema}")
-        return [name.removeprefix(start) for name in names if name.startswith(start)]
+        """Names of the layer's stored tables; no data is read."""
+        return sorted(table for table in self.manifest(schema) if table != MALFORMED)
 
     def write(self, schema: str, table: str, df: DataFrame | TypedDataFrame) -> None:
-        """Create the table or replace it, schema included."""
-        name, path = self._own_name(schema, table), self.path(schema, table)
-        plain(df).write.format("parquet").mode("overwrite").option("path", path).saveAsTable(name)
+        """Create the table or replace it, schema included. ``df`` may be made of the table's own rows."""
+        self._own_name(schema, table)
+        place = f"{table}/version={uuid.uuid4().hex}"
+        plain(df).write.parquet(f"{self.path(schema)}/{place}")
+        self._commit(schema, {table: [place]})
 
     def write_all(self, schema: str, frames: Mapping[str, DataFrame | TypedDataFrame]) -> None:
         for table, df in frames.items():
@@ -93,7 +116,10 @@ class Warehouse:
 
     def read(self, schema: str, table: str) -> DataFrame:
         reader = self.spark.read.schema(BRONZE) if schema == Schema.BRONZE else self.spark.read
-        return reader.parquet(self.path(schema, table))
+        places = self.places(schema, table)
+        if not places:
+            raise ValueError(f"{self.root} has no table {schema}.{table}")
+        return reader.parquet(*places)
 
     def summary(self, schema: str) -> DataFrame:
         """Rows of every stored table of a layer, as (``table``, ``rows``); one job for all of them."""
@@ -104,40 +130,98 @@ class Warehouse:
         return reduce(DataFrame.unionByName, counts) if counts else self.spark.createDataFrame([], "table string, rows bigint")
 
     def write_bronze(self, entries: DataFrame) -> None:
-        """Write all resource types in one job, then make each a table of its own.
+        """Write all resource types in one job; each type's rows replace its earlier ones.
+
+        Types that are not in this load keep their earlier rows.
+        """
+        load = uuid.uuid4().hex
+        self._commit(Schema.BRONZE, {table: [place] for table, place in self._load(entries, load).items()})
+
+    def add_bronze(self, entries: DataFrame, load: str) -> None:
+        """Write all resource types in one job, beside the rows of earlier loads.
+
+        A load that is already there is not added again, so a load may be repeated after a failure.
+        """
+        before = self.manifest(Schema.BRONZE)
+        if any(place.startswith(f"load={load}/") for places in before.values() for place in places):
+            return
+        added = self._load(entries, load)
+        self._commit(Schema.BRONZE, {table: [*before.get(table, []), place] for table, place in added.items()})
+
+    def compact_bronze(self, resource_type: str) -> None:
+        """Write a type's rows of many loads as those of one."""
+        name = table_name_of(resource_type)
+        rows = self.bronze(resource_type).withColumn("bronze_table", F.lit(name))
+        self._commit(Schema.BRONZE, {name: [place] for place in self._load(rows, uuid.uuid4().hex).values()})
+
+    def _load(self, entries: DataFrame, load: str) -> dict[str, str]:
+        """Write a load; gives the directory of each type in it.
 
         The rows are rebalanced by type on their real sizes, so a type that holds most rows is
         spread over many tasks and a rare one does not leave a small file per task. That is adaptive
-        execution's work and needs it. Types that are not in this load keep their earlier rows.
+        execution's work and needs it.
         """
         if self.spark.conf.get("spark.sql.adaptive.enabled") != "true":
             raise ValueError("writing bronze needs spark.sql.adaptive.enabled, or one task would write all rows of a type")
-        writer = entries.hint("rebalance", "bronze_table").write.partitionBy("bronze_table")
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{self.root}/{Schema.BRONZE}")
-        self._register_bronze()
+        path = f"{self.path(Schema.BRONZE)}/load={load}"
+        entries.hint("rebalance", "bronze_table").write.partitionBy("bronze_table").mode("overwrite").parquet(path)
+        start = "bronze_table="
+        names = [name for name in files.directories(self.spark, path) if name.startswith(start)]
+        return {name.removeprefix(start): f"load={load}/{name}" for name in names}
 
     def bronze(self, resource_type: str) -> DataFrame:
         """Bronze rows of one type; no rows if there is no such table."""
         name = table_name_of(resource_type)
-        if not files.exists(self.spark, self.path(Schema.BRONZE, name)):
+        if not self.places(Schema.BRONZE, name):
             return self.spark.createDataFrame([], BRONZE)
         return self.read(Schema.BRONZE, name)
 
+    def malformed(self) -> DataFrame:
+        """Bundles that could not be parsed, where loads were told to keep them: ``source_file`` and ``text``."""
+        columns = ["_source_file AS source_file", "try_variant_get(resource, '$', 'string') AS text"]
+        if not self.places(Schema.BRONZE, MALFORMED):
+            return self.spark.createDataFrame([], "source_file string, text string")
+        return self.read(Schema.BRONZE, MALFORMED).selectExpr(*columns)
+
     def attach(self) -> None:
         """Register the tables an earlier session left under ``root``."""
-        self._register_bronze()
-        for schema in (Schema.SILVER, Schema.GOLD):
+        for schema in Schema:
             for table in self.tables(schema):
-                self._register(schema, table, self.read(schema, table).schema)
-
-    def _register_bronze(self) -> None:
-        for table in self.tables(Schema.BRONZE):
-            self._register(Schema.BRONZE, table, self.read(Schema.BRONZE, table).schema)
-
-    def _register(self, schema: str, table: str, columns: StructType) -> None:
+                self._register(schema, table)
+
+    def _commit(self, schema: str, changed: dict[str, list[str]]) -> None:
+        """The directories become the tables' rows. Until the manifest is replaced nothing has changed."""
+        before = self.manifest(schema)
+        after = before | changed
+        files.replace_text(self.spark, f"{self.path(schema)}/{MANIFEST}", json.dumps(after, indent=1))
+        for table in changed:
+            if table != MALFORMED:
+                self._register(schema, table)
+        used = {place for manifest in (before, after) for places in manifest.values() for place in places}
+        for directory in files.directories(self.spark, self.path(schema)):
+            if directory.startswith("_"):
+                continue
+            below = [f"{directory}/{name}" for name in files.directories(self.spark, f"{self.path(schema)}/{directory}")]
+            for place in below:
+                if place not in used and not place.endswith("/_temporary"):
+                    files.delete(self.spark, f"{self.path(schema)}/{place}")
+            if not used.intersection(below):
+                files.delete(self.spark, f"{self.path(schema)}/{directory}")
+
+    def _register(self, schema: str, table: str) -> None:
+        """Make the catalog's table the rows that the manifest lists."""
         name = self._own_name(schema, table)
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.catalog.createTable(name, path=self.path(schema, table), source="parquet", schema=columns)
+        places = self.places(schema, table)
+        if schema != Schema.BRONZE:
+            self.spark.catalog.createTable(name, path=places[0], source="parquet", schema=self.read(schema, table).schema)
+            return
+        root = files.qualified(self.spark, self.path(schema))
+        self.spark.sql(f"CREATE TABLE {name} ({BRONZE}, `load` string) USING parquet PARTITIONED BY (`load`) LOCATION {_literal(root)}")
+        for place in places:
+            load = place.split("/")[-2].removeprefix("load=")
+            at = files.qualified(self.spark, place)
+            self.spark.sql(f"ALTER TABLE {name} ADD PARTITION (`load` = {_literal(load)}) LOCATION {_literal(at)}")
 
     def _own_name(self, schema: str, table: str) -> str:
         """The table's name in the catalog; an error if another place has it."""
@@ -145,6 +229,6 @@ class Warehouse:
         if self.spark.catalog.tableExists(name):
             about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
             place = files.qualified(self.spark, about["data_type"]) if about else "a view"
-            if place != files.qualified(self.spark, self.path(schema, table)):
+            if not f"{place}/".startswith(f"{files.qualified(self.spark, self.path(schema))}/"):
                 raise ValueError(f"{name} is {place}, not of the warehouse {self.root}; give this warehouse another prefix")
         return name

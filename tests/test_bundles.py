@@ -49,6 +49,14 @@ def test_single_file(spark, directory):
     assert len(rows(bundles.load_bronze_bundle_file(spark, f"{path}/one.json"))) == 3
 
 
+def test_a_file_named_like_a_pattern(spark, directory):
+    path = directory(**{"visit[1]__json": BUNDLE, "visit1__json": BUNDLE | {"id": "other"}, "v*__json": BUNDLE | {"id": "star"}})
+    assert {row[2] for row in rows(bundles.load_bronze_bundle_file(spark, f"{path}/visit[1].json"))} == {"visit-4"}
+    assert {row[2] for row in rows(bundles.load_bronze_bundle_file(spark, f"{path}/v*.json"))} == {"star"}
+    assert bundles.read_bundle_files(spark, f"{path}/visit*.json").count() == 2
+    assert len(rows(bundles.load_bronze_bundles(spark, path))) == 9
+
+
 def test_one_bundle_per_line(spark, directory):
     path = directory(many__json="\n".join(json.dumps(BUNDLE | {"id": f"b{i}"}) for i in range(5)))
     entries = bundles.load_bronze_bundles(spark, path, lines=True)

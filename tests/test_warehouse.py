@@ -1,13 +1,15 @@
 import datetime
 import json
+import os
+import random
 
 import pytest
 
 from caretiers import build_session
 from caretiers.__main__ import main
 from caretiers.operators.flatten import flatten_condition, flatten_observation, flatten_patient
-from caretiers.plans.pipeline import run_bronze, run_gold, run_pipeline, run_silver, save_silver_tables
-from caretiers.sources import tables
+from caretiers.plans.pipeline import run_bronze, run_bronze_new, run_gold, run_pipeline, run_silver, save_silver_tables
+from caretiers.sources import files, tables
 from caretiers.sources.bundles import explode_entries, of_type, parse_bundles
 from caretiers.sources.tables import Warehouse
 
@@ -135,6 +137,7 @@ def test_stored_bronze_gives_the_rows_of_the_json(spark, warehouse):
         expected = sorted(map(str, function(of_type(entries, resource_type)).collect()))
         assert len(expected) == len(odd) * 20
         assert sorted(map(str, function(warehouse.bronze(resource_type)).collect())) == expected
+        assert sorted(map(str, function(of_type(entries, resource_type), at_once=True).collect())) == expected
 
 
 def test_two_warehouses_keep_their_rows(spark, warehouse, tmp_path):
@@ -175,3 +178,129 @@ def test_missing_input_ends_with_a_message(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("sys.argv", ["caretiers", str(tmp_path / "nowhere"), "--db", str(tmp_path / "db")])
     with pytest.raises(SystemExit, match="input does not exist"):
         main()
+
+
+def bundle(name, *types):
+    return json.dumps({"id": name, "entry": [{"resource": {"resourceType": t, "id": f"{name}-{t}"}} for t in types]})
+
+
+def counts(summary):
+    return {row["table"]: row["rows"] for row in summary.collect()}
+
+
+def test_a_failing_write_leaves_the_old_rows(spark, warehouse):
+    warehouse.write("gold", "t", spark.range(3))
+    bad = spark.range(5).selectExpr("id", "if(id = 4, raise_error('stop'), 1) AS x")
+    with pytest.raises(Exception, match="stop"):
+        warehouse.write("gold", "t", bad)
+    assert warehouse.read("gold", "t").columns == ["id"]
+    assert [warehouse.read("gold", "t").count(), spark.table("gold.t").count(), Warehouse(spark, warehouse.root).read("gold", "t").count()] == [3] * 3
+    reader = warehouse.read("gold", "t")
+    warehouse.write("gold", "t", reader.union(reader))
+    assert [warehouse.read("gold", "t").count(), spark.table("gold.t").count()] == [6, 6]
+    assert reader.count() == 3  # the version before stays for those who read it
+    warehouse.write("gold", "t", spark.range(1))
+    assert len(files.directories(spark, f"{warehouse.root}/gold/t")) == 2  # what failed and the first version are gone
+
+
+def test_a_failing_bronze_load_leaves_all_types(spark, warehouse, bundle_dir):
+    before = counts(run_bronze(warehouse, str(bundle_dir)))
+    (bundle_dir / "3.json").write_text('{"id": "b", "entry": [')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        run_bronze(warehouse, str(bundle_dir))
+    assert counts(warehouse.summary("bronze")) == before == summary(spark, "bronze")
+
+
+def test_a_bronze_load_replaces_only_its_types(spark, warehouse, tmp_path):
+    warehouse.write_bronze(explode_entries(parse_bundles(spark.createDataFrame([("f", bundle("a", "Patient", "Condition"))], "source_file string, bundle string"))))
+    warehouse.write_bronze(explode_entries(parse_bundles(spark.createDataFrame([("f", bundle("b", "Patient", "Patient"))], "source_file string, bundle string"))))
+    assert counts(warehouse.summary("bronze")) == {"bronze.condition": 1, "bronze.patient": 2}
+    assert summary(spark, "bronze") == {"bronze.condition": 1, "bronze.patient": 2}
+
+
+@pytest.mark.parametrize("name", ["day", "day[1]"])
+def test_new_files_are_added_once(spark, warehouse, tmp_path, name):
+    source = tmp_path / name
+    source.mkdir()
+    (source / "a.json").write_text(bundle("a", "Patient", "Observation"))
+    (source / "notes.txt").write_text("no bundle")
+    path = str(source)
+    assert counts(run_bronze_new(warehouse, path)) == {"bronze.observation": 1, "bronze.patient": 1}
+    assert counts(run_bronze_new(warehouse, path)) == {"bronze.observation": 1, "bronze.patient": 1}
+    (source / "b.json").write_text(bundle("b", "Patient"))
+    os.utime(source / "b.json", (0, 0))  # as old as it may be
+    (source / "c.json").write_text(bundle("c", "Condition"))
+    assert counts(run_bronze_new(warehouse, path)) == {"bronze.observation": 1, "bronze.patient": 2, "bronze.condition": 1}
+    assert summary(spark, "bronze") == {"bronze.observation": 1, "bronze.patient": 2, "bronze.condition": 1}
+    again = Warehouse(spark, warehouse.root)
+    again.attach()
+    assert counts(run_bronze_new(again, path)) == counts(again.summary("bronze")) == summary(spark, "bronze")
+    again.compact_bronze("Patient")
+    assert len(again.places("bronze", "patient")) == 1
+    assert sorted(r[0] for r in again.bronze("patient").selectExpr("resource:id::string").collect()) == ["a-Patient", "b-Patient"]
+
+
+@pytest.mark.parametrize("point", ["before", "within", "after"])
+def test_a_failed_run_adds_nothing_twice(spark, warehouse, tmp_path, monkeypatch, point):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.json").write_text(bundle("a", "Patient", "Observation"))
+    run_bronze_new(warehouse, str(source))
+    (source / "b.json").write_text(bundle("b", "Patient", "Observation"))
+    with monkeypatch.context() as failing:
+        commit = warehouse._commit
+
+        def fail(*args):
+            if point == "within":
+                files.replace_text(spark, f"{warehouse.root}/bronze/load=left/bronze_table=patient/x", "cut off")
+            if point == "after":
+                commit(*args)
+            raise OSError("lost")
+
+        failing.setattr(warehouse, "_commit", fail)
+        with pytest.raises(Exception, match="lost"):
+            run_bronze_new(warehouse, str(source))
+    assert warehouse.bronze("patient").count() == (2 if point == "after" else 1)
+    (source / "c.json").write_text(bundle("c", "Patient"))
+    assert counts(run_bronze_new(warehouse, str(source))) == {"bronze.patient": 3, "bronze.observation": 2}
+    assert {r[0] for r in warehouse.bronze("patient").selectExpr("resource:id::string").collect()} == {"a-Patient", "b-Patient", "c-Patient"}
+    assert not files.exists(spark, f"{warehouse.root}/bronze/load=left")
+
+
+def test_new_files_of_a_common_type_are_many_tasks(spark, warehouse, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    rng = random.Random(0)
+    for k in range(4):
+        (source / f"{k}.ndjson").write_text("\n".join(json.dumps({"id": f"{k}", "entry": [{"resource": {"resourceType": "Patient", "id": rng.randbytes(400).hex()}}] * 3}) for _ in range(100)))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32k")
+    try:
+        run_bronze_new(warehouse, str(source), lines=True, names="*.ndjson", files_at_once=2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    places = warehouse.places("bronze", "patient")
+    assert len(places) == 2 and warehouse.bronze("patient").count() == 1200
+    assert all(len([f for f in os.listdir(p.removeprefix("file:")) if f.endswith(".parquet")]) > 1 for p in places)
+
+
+def test_malformed_bundles_are_kept_aside(spark, warehouse, bundle_dir, capsys):
+    texts = {"x.json": '{"id": "b", "entry": [{"resource": {"resourceType": "Patient", "id": "lost"}}, {', "y.json": "no json", "z.json": '{"entry": {"resource": 1}}'}
+    for name, text in texts.items():
+        (bundle_dir / name).write_text(text)
+    (bundle_dir / "empty.json").write_text("")
+    found = counts(run_bronze(warehouse, str(bundle_dir), quarantine=True))
+    assert found == {"bronze.foo_bar__1": 3, "bronze.observation": 3, "bronze.patient": 3}
+    assert dict(map(tuple, warehouse.malformed().collect())) == texts
+    assert sorted(summary(spark, "bronze")) == sorted(found)
+    run_pipeline(spark, str(bundle_dir), warehouse.root, new=True, quarantine=True)
+    assert "malformed bundles: 6" in capsys.readouterr().out  # those of the first load and the same files, added
+
+
+def test_malformed_lines_are_kept_aside(spark, tmp_path):
+    (tmp_path / "a.json").write_text("\n".join([bundle("a", "Patient"), "{bad", bundle("b", "Patient"), '{"id": "c"}']))
+    warehouse = Warehouse(spark, str(tmp_path / "db"), prefix="lines_")
+    assert warehouse.malformed().count() == 0
+    assert counts(run_bronze(warehouse, str(tmp_path / "a.json"), lines=True, quarantine=True)) == {"bronze.patient": 2}
+    assert [tuple(r) for r in warehouse.malformed().collect()] == [("a.json", "{bad")]
+    for schema in ("bronze", "silver", "gold"):
+        spark.sql(f"DROP DATABASE lines_{schema} CASCADE")

@@ -20,6 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """The rows dealt out by key, at any size; adaptive execution chooses the number of tasks.
+
+    A test table has one row group, which is one task however many cores there are, and making bundles of
+    rows takes much longer than reading them. Imported bundles come from many files or splits and are not
+    dealt out.
+    """
+    return rows.repartition(key)
+
+
 def every(key: str, n: int, remainder: int = 0) -> Column:
     return F.col(key) % n == remainder
 
@@ -53,7 +63,7 @@ def _entry(resource: Column, full_url: Column | None = None) -> Column:
 
 def patient_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
-    customers = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    customers = dealt(table(spark, sf_dir, "customer"), "c_custkey").join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return customers.select(*_of_customers())
 
 
@@ -112,7 +122,7 @@ def _of_customers() -> tuple[Column, ...]:
 
 
 def observation_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(*_of_orders())
+    return dealt(table(spark, sf_dir, "orders"), "o_orderkey").select(*_of_orders())
 
 
 @cache
@@ -195,7 +205,7 @@ def _of_orders() -> tuple[Column, ...]:
 
 
 def condition_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(*_of_lines())
+    return dealt(table(spark, sf_dir, "lineitem"), "l_orderkey").select(*_of_lines())
 
 
 @cache

@@ -368,6 +368,26 @@ FROM orders, (VALUES (0), (1)) t(i) WHERE o_orderkey % 9 <> 0""",
         source="""(SELECT observation_count, row_number() OVER (ORDER BY observation_count DESC) AS r,
         count(*) OVER () // 5 AS k FROM gold)""",
     ),
+    "codes_outside_lists": _select(
+        "*",
+        PATIENT,
+        OBSERVATION,
+        source="""(
+          SELECT 'patient' AS frame, 'gender' AS field, gender AS code, count(*) AS "rows" FROM patient WHERE gender = 'invalid' GROUP BY gender
+          UNION ALL SELECT 'observation', 'status', status, count(*) FROM observation WHERE status = 'P' GROUP BY status
+          UNION ALL SELECT 'observation', 'category', o_orderstatus, count(*) FROM observation GROUP BY o_orderstatus
+          UNION ALL SELECT 'observation', 'category', 'extra', count(*) FROM observation HAVING count(*) > 0)""",
+    ),
+    "condition_status_codes": """
+SELECT 'condition_status' AS frame, 'clinical' AS field, 'active' AS code, count(*) AS "rows" FROM lineitem WHERE l_linestatus = 'F'
+HAVING count(*) > 0""",
+    "stored_bronze_counts": f"""{_ALL_ENTRIES} SELECT 'bronze.' || bronze_table AS "table", count(*) AS "rows" FROM entries GROUP BY bronze_table""",
+    "added_bronze_counts": f"""{_ALL_ENTRIES} SELECT 'bronze.' || bronze_table AS "table", count(*) AS "rows" FROM entries GROUP BY bronze_table""",
+    "stored_gold": _select("*", PATIENT, OBSERVATION, GOLD),
+    "stored_observation_report": _select(f"{_OBSERVATION_COUNTS}, {_report('observation')}", OBSERVATION),
+    "stored_silver_condition": _select(f"{_CONDITION_FLAT.replace('source_file, ', '')}, {_ERRORS}", CONDITION),
+    "malformed_bundles": """
+SELECT 'order-' || o_orderkey AS bundle, CASE WHEN o_orderkey % 5 = 0 THEN 'malformed' ELSE 'loaded' END AS kind FROM orders""",
     "table_summary": " UNION ALL ".join(f"""SELECT '{DATABASE}.{t}' AS "table", count(*) AS "rows" FROM {t}""" for t in TABLES),
     "scan_parquet": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
     "read_and_clean": f"""

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +18,8 @@ from caretiers.operators import cleaning
 from caretiers.operators.columns import with_columns
 from caretiers.operators.flatten import flatten_condition, flatten_observation, flatten_patient
 from caretiers.operators.validation import is_finite, validate_condition, validate_observation, validate_patient
-from caretiers.plans import gold, pipeline, reports
-from caretiers.sources import bundles, parquet, tables
+from caretiers.plans import codes, gold, pipeline, reports
+from caretiers.sources import bundles, files, parquet, tables
 from workload.bundles import condition_bundles, every, observation_bundles, patient_bundles, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,19 +167,24 @@ def raw_summary_observation(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Silver.
 
 
+def _all_columns(validate: Callable[[DataFrame], TypedDataFrame], flatten: Callable[..., DataFrame], bronze: DataFrame) -> TypedDataFrame:
+    """Silver with all its columns, from resources that were just parsed."""
+    return validate(flatten(bronze, at_once=True))
+
+
 @query
 def silver_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _patients(spark, sf_dir).withColumn("validation_errors", _joined("validation_errors"))
+    return _all_columns(validate_patient, flatten_patient, _bronze_patients(spark, sf_dir)).withColumn("validation_errors", _joined("validation_errors"))
 
 
 @query
 def silver_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _conditions(spark, sf_dir).withColumn("validation_errors", _joined("validation_errors"))
+    return _all_columns(validate_condition, flatten_condition, _bronze_conditions(spark, sf_dir)).withColumn("validation_errors", _joined("validation_errors"))
 
 
 @query
 def silver_observation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    observations = _observations(spark, sf_dir)
+    observations = _all_columns(validate_observation, flatten_observation, _bronze_observations(spark, sf_dir))
     return observations.withColumns(
         {name: _joined(name) for name in ("performer_references", "performer_ids", "validation_errors")}
         | {name: F.size(name) for name in ("code_codings", "category_codings", "components")}
@@ -316,6 +323,105 @@ def top20_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.concentration(_gold(spark, sf_dir))
 
 
+# Codes and their lists.
+
+
+@query
+def codes_outside_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frames = {
+        "patient": _patients(spark, sf_dir),
+        "condition": _conditions(spark, sf_dir),
+        "observation": _observations(spark, sf_dir),
+    }
+    return codes.codes_outside_lists(spark, frames)
+
+
+@query
+def condition_status_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.used_codes({"condition_status": codes.condition_statuses(_bronze_conditions(spark, sf_dir))})
+
+
+# Bundles in files, imported into stored tables.
+
+
+def _new_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share; it goes when the application ends."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{root.rstrip('/')}/_workload/{uuid.uuid4().hex}"
+    files.delete_on_exit(spark, path)
+    return path
+
+
+def _write_lines(spark: SparkSession, sf_dir: str, path: str, *makers: Callable[[SparkSession, str], DataFrame]) -> None:
+    """Bundles of all rows of the tables, one per line."""
+    for make in makers:
+        make(spark, sf_dir).select(F.col("bundle").alias("value")).write.mode("append").text(path)
+
+
+def _warehouse(spark: SparkSession, folder: str) -> tables.Warehouse:
+    return tables.Warehouse(spark, f"{folder}/db", prefix=f"w{folder[-12:]}_")
+
+
+@cache
+def _imported(spark: SparkSession, sf_dir: str) -> tables.Warehouse:
+    """The tables of all bundles, imported from files; once a session, since the tables do not change."""
+    folder = _new_folder(spark)
+    _write_lines(spark, sf_dir, f"{folder}/in", patient_bundles, observation_bundles, condition_bundles)
+    warehouse = _warehouse(spark, folder)
+    pipeline.run_bronze(warehouse, f"{folder}/in", lines=True, names="*.txt")
+    return warehouse
+
+
+@query
+def stored_bronze_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _imported(spark, sf_dir).summary("bronze")
+
+
+@query
+def stored_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse = _imported(spark, sf_dir)
+    warehouse.write("gold", pipeline.GOLD_TABLE, pipeline.run_gold(pipeline.run_silver(warehouse), AS_OF))
+    return warehouse.read("gold", pipeline.GOLD_TABLE)
+
+
+@query
+def stored_observation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_error_text(reports.observation_report(pipeline.run_silver(_imported(spark, sf_dir)).observation))
+
+
+@query
+def stored_silver_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver stored and read back, without the names of the files, which the writer has chosen."""
+    warehouse = _imported(spark, sf_dir)
+    conditions = pipeline.save_silver_tables(warehouse, pipeline.run_silver(warehouse)).condition
+    return conditions.drop("source_file").withColumn("validation_errors", _joined("validation_errors"))
+
+
+@query
+def added_bronze_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of a directory that grows: the second adds the new files only. Then a third that finds none."""
+    folder = _new_folder(spark)
+    warehouse = _warehouse(spark, folder)
+    for makers in ((patient_bundles, condition_bundles), (observation_bundles,), ()):
+        _write_lines(spark, sf_dir, f"{folder}/in", *makers)
+        pipeline.run_bronze_new(warehouse, f"{folder}/in", lines=True, names="*.txt")
+    return warehouse.summary("bronze")
+
+
+@query
+def malformed_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth order's bundle is cut off: what is kept aside, beside the rows of the others."""
+    folder = _new_folder(spark)
+    made = observation_bundles(spark, sf_dir).select(F.col("bundle").alias("value"))
+    cut = F.col("value").rlike('"id":"order-[0-9]*[05]"')
+    made.select(F.when(cut, F.expr("left(value, length(value) - 2)")).otherwise(F.col("value")).alias("value")).write.text(f"{folder}/in")
+    warehouse = _warehouse(spark, folder)
+    pipeline.run_bronze(warehouse, f"{folder}/in", lines=True, quarantine=True, names="*.txt")
+    bad = warehouse.malformed().select(F.regexp_extract("text", '"id":"(order-[0-9]+)"', 1).alias("bundle"), F.lit("malformed").alias("kind"))
+    good = warehouse.bronze("Observation").select(F.col("_source_bundle").alias("bundle"), F.lit("loaded").alias("kind"))
+    return bad.unionByName(good)
+
+
 # Tables and Parquet files.
 
 
