@@ -23,26 +23,27 @@ rows to learn from, every word is unknown and has probability 1. Other columns a
 
 from __future__ import annotations
 
-import pickle
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caretiers.llm.common import delete, discard, documents, shared_dir, ship, stored, temporary
-from caretiers.llm.wordhash import NOT_SPACE, blocks, mix, text_bytes, words
+from caretiers.llm.common import delete, documents, scratch, shared_dir, ship, stored, temporary
+from caretiers.llm.packed import added, from_steps, packed, ranges, runs, steps, unpacked
+from caretiers.llm.wordhash import NOT_SPACE, mix, text_bytes, words
 
 #: Counts up to this are discounted.
 K = 5
-BLOCK_BYTES = 16 << 20
-#: Bytes of text for each bucket of counts.
-BUCKET_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+#: Bytes of text that are hashed together.
+BATCH_BYTES = 1 << 20
+#: Bytes of text for each bucket of counts. Blocks times buckets is the number of messages.
+BUCKET_BYTES = 24 << 20
 #: Documents are learnt from unless CRC-32 of the id as text, modulo ``FOLDS``, is ``HELD_OUT``.
 FOLDS, HELD_OUT = 7, 2
 #: Hash of the end token, and the number of the history at the begin of documents.
@@ -52,42 +53,6 @@ REPLY = MESSAGE + ", totals array<long>"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def packed(*arrays: np.ndarray) -> bytes:
-    """Arrays of whole numbers, their bytes by place, compressed."""
-    planes = [(len(x), np.ascontiguousarray(x.astype(np.uint64)).view(np.uint8).reshape(-1, 8).T.tobytes()) for x in arrays]
-    return zstandard.compress(pickle.dumps(planes), 1)
-
-
-def unpacked(data: bytes) -> list[np.ndarray]:
-    planes = pickle.loads(zstandard.decompress(data))
-    return [np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, n).T).view(np.uint64).ravel().astype(np.int64) for n, x in planes]
-
-
-def steps(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Differences of ascending runs, each run's first value as it is."""
-    out = np.diff(values, prepend=values[:1] * 0)
-    out[begins] = values[begins]
-    return out
-
-
-def from_steps(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The runs of ``sizes`` values that ``steps`` was made of."""
-    total = np.cumsum(values)
-    begins = np.cumsum(sizes) - sizes
-    return total - np.repeat(np.concatenate([[0], total])[begins], sizes)
-
-
-def ranges(firsts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The numbers from each of ``firsts`` on, ``sizes`` of them."""
-    return np.arange(int(sizes.sum())) + np.repeat(firsts - (np.cumsum(sizes) - sizes), sizes)
-
-
-def added(place: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    out = np.zeros(n, np.int64)
-    np.add.at(out, place, values)
-    return out
-
-
 # Blocks and words
 
 
@@ -95,7 +60,7 @@ def stored_blocks(block_bytes: int, buckets: int):
     """Rows of documents to a row a block: documents, tokens as places in the block's words, words and their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for k, part in enumerate(runs(batches, block_bytes)):
+        for k, part in enumerate(runs(batches, block_bytes, BATCH_BYTES)):
             hashes, sizes, ids, held = [], [], [], []
             for b in part:
                 values, offsets = text_bytes(b.column("text"))
@@ -125,19 +90,6 @@ BLOCK_NAMES = ["block", "ids", "held_out", "tokens", "sent"]
 BLOCK_TYPES = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.list_(pa.struct([("bucket", pa.int64()), ("data", pa.binary())]))]
 
 
-def runs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.RecordBatch]]:
-    """Runs of batches whose texts have about ``most`` bytes together."""
-    held, size = [], 0
-    for b in blocks(batches, "text", most):
-        if held and size + b.column("text").nbytes > most:
-            yield held
-            held, size = [], 0
-        held.append(b)
-        size += b.column("text").nbytes
-    if held:
-        yield held
-
-
 def answers(bucket: int, of: list[int], data: list[bytes], times: np.ndarray) -> pa.Table:
     """A row for each block, and one without a block: how many were seen 1, 2, ... ``K`` + 1 times, all, and their sum."""
     seen = times[times > 0]
@@ -387,6 +339,15 @@ def score(docs: DataFrame, held_out: str | None = None, block_bytes: int = BLOCK
     made.write.bucketBy(places, "block").option("path", path).option("compression", "zstd").saveAsTable(table)
     temporary(spark, path)
     kept = spark.table(table)
+    with scratch() as keep:
+        found = keep(stored(_scores(kept, buckets)))
+    spark.sql(f"DROP TABLE {table}")
+    delete(spark, path)
+    return found
+
+
+def _scores(kept: DataFrame, buckets: int) -> DataFrame:
+    """What ``score`` gives, from the stored blocks."""
     sent = kept.select("block", F.explode("sent").alias("m")).select("m.bucket", "block", "m.data")
     of_words = stored(sent.groupBy("bucket").applyInArrow(word_counts(buckets), REPLY))
     word_totals = totals(of_words)
@@ -395,12 +356,7 @@ def score(docs: DataFrame, held_out: str | None = None, block_bytes: int = BLOCK
     of_pairs = stored(asked.groupBy("bucket").applyInArrow(pair_counts, REPLY))
     model = Model.of(word_totals, totals(of_pairs))
     both = known.withColumn("of_pairs", F.lit(False)).unionByName(of_pairs.where("block is not null").drop("totals").withColumn("of_pairs", F.lit(True)))
-    found = kept.select("block", "ids", "held_out", "tokens").groupBy("block").cogroup(both.groupBy("block")).applyInArrow(scoring(buckets, model), SCORES)
-    found = stored(found)
-    spark.sql(f"DROP TABLE {table}")
-    delete(spark, path)
-    discard(of_words, of_pairs)
-    return found
+    return kept.select("block", "ids", "held_out", "tokens").groupBy("block").cogroup(both.groupBy("block")).applyInArrow(scoring(buckets, model), SCORES)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
