@@ -3,13 +3,14 @@
 Rows are shuffled by their full text, so that each distinct text is tokenised and aligned once, however
 many rows hold it. Both tokenizers' tokens are laid over the text's bytes; a token of each that end at the
 same byte are linked, and links cut the text into groups. A block is a run of texts of bounded size
-inside a partition: it is stored with its distinct pairs of linked ids, their counts weighted by how many
-rows hold each text, and each text's pairs as places among these. Pair counts are summed over all
-blocks, joined back to the blocks' distinct pairs, and each block gives its texts' measures.
+inside a partition: it is stored with each text's pairs of linked ids, as places among the block's distinct
+pairs. These go to buckets by their id of the second tokenizer, with their counts weighted by how many rows
+hold each text, packed. A bucket sums the counts of all blocks and answers each block in the same order,
+and the block gives its texts' measures.
 
 Measures are joined to rows by the text's SHA-256. A text on very many rows is split: its rows are dealt
-over as many copies of its measures as it has shares of ``common.share`` rows. What is broadcast is the
-best count of each id of the second tokenizer, and the texts that are split, at most 10,000.
+over as many copies of its measures as it has shares of ``common.share`` rows. All that is broadcast is
+which texts are split, at most 10,000.
 
 Texts that are null, empty, or that a tokenizer does not give back byte for byte have no tokens: all
 measures 0, the digest an empty text. Rows without an id or with equal ids are rows of their own. Other
@@ -31,12 +32,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caretiers.llm.common import documents, ship, spread_join, stored
-from caretiers.llm.wordhash import blocks
+from caretiers.llm.common import documents, scratch, ship, spread_join, stored
+from caretiers.llm.packed import added, from_steps, packed, runs, steps, unpacked
+from caretiers.llm.wordhash import mix
 
 FIRST = "byte_bpe_50k.json"
 SECOND = "piece_bpe_32k.model"
 BLOCK_BYTES = 16 << 20
+#: Bytes of text for each bucket of pairs.
+BUCKET_BYTES = 64 << 20
 #: Bytes of text that are tokenised together.
 BATCH_BYTES = 1 << 20
 MEASURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
@@ -113,100 +117,98 @@ def align(both: Tokenizers, texts: list[str]) -> tuple[np.ndarray, np.ndarray, n
     return b[b_at] << 32 | a[a_at], text_of, np.stack([np.diff(a_begins), np.diff(b_begins)], 1), digests
 
 
-def packed(values: np.ndarray) -> bytes:
-    """Small whole numbers, their bytes by place, compressed."""
-    return zstandard.compress(np.ascontiguousarray(values.astype("<u4")).view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
+BLOCK = "block long, texts binary, sent array<struct<bucket: long, data: binary>>"
+BLOCK_TYPES = [pa.int64(), pa.binary(), pa.list_(pa.struct([("bucket", pa.int64()), ("data", pa.binary())]))]
+MESSAGE = "bucket long, block long, data binary"
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+def stored_block(names: tuple[str, str], limits: tuple[int, int], buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each block: its number, its texts' links, and a message to each bucket that has some of its pairs.
 
-
-def stored_block(names: tuple[str, str], limits: tuple[int, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each block: its number, distinct links, their weighted counts, and its texts."""
+    A pair is in the bucket of its id of the second tokenizer.
+    """
     both = tokenizers(*names)
-    task, k = TaskContext.get().partitionId(), 0
-    for block in joined(batches, limits[0]):
-        table = pa.Table.from_batches(block)
-        links, owners, sizes, digests, count = [], [], [], [], 0
-        for part in blocks(iter(table.to_batches()), "text", limits[1]):
+    for k, parts in enumerate(runs(batches, *limits)):
+        links, owners, sizes, groups, rows, texts = [], [], [], [], [], []
+        for part in parts:
             link, owner, size, digest = align(both, part.column("text").to_pylist())
             links.append(link)
-            owners.append(owner + count)
+            owners.append(owner + len(groups))
             sizes.append(size)
-            digests += digest
-            count += len(digest)
-        link, owner, size = np.concatenate(links), np.concatenate(owners), np.concatenate(sizes)
+            groups += digest
+            rows += part.column("n").to_pylist()
+            texts += part.column("digest").to_pylist()
+        link, owner, size, rows = np.concatenate(links), np.concatenate(owners), np.concatenate(sizes), np.array(rows, np.int64)
         pairs, place = np.unique(link, return_inverse=True)
-        held, times = np.unique(owner * max(len(pairs), 1) + place.ravel(), return_counts=True)
+        home = (mix((pairs >> 32).astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(home, kind="stable")
+        pairs, home, moved = pairs[order], home[order], np.empty(len(order), np.int64)
+        moved[order] = np.arange(len(order))
+        held, times = np.unique(owner * max(len(pairs), 1) + moved[place.ravel()], return_counts=True)
         owner, place = np.divmod(held, max(len(pairs), 1))
-        rows = np.array(table.column("n").to_pylist(), np.int64)
-        weights = np.zeros(len(pairs), np.int64)
-        np.add.at(weights, place, times * rows[owner])
-        begins = np.searchsorted(owner, np.arange(count + 1))
-        steps = np.diff(place, prepend=0)
-        firsts = begins[:-1][begins[:-1] < begins[1:]]
-        steps[firsts] = place[firsts]
-        texts = pickle.dumps((table.column("digest").to_pylist(), rows, size, digests, begins, packed(steps), packed(times)), pickle.HIGHEST_PROTOCOL)
-        kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
-        row = [[task << 32 | k], [pairs], [weights], [zstandard.compress(texts, 1)]]
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, kinds, strict=True)], ["block", "pairs", "weights", "texts"])
-        k += 1
-
-
-def joined(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.RecordBatch]]:
-    """Runs of batches whose texts have about ``most`` bytes together."""
-    held, size = [], 0
-    for b in blocks(batches, "text", most):
-        here = b.column("text").nbytes
-        if held and size + here > most:
-            yield held
-            held, size = [], 0
-        held.append(b)
-        size += here
-    if held:
-        yield held
+        weights = added(place, times * rows[owner], len(pairs))
+        begins = np.searchsorted(owner, np.arange(len(groups) + 1))
+        found = (texts, rows, size, groups, begins, packed(steps(place, begins[:-1][np.diff(begins) > 0]), times))
+        edges = np.flatnonzero(np.diff(home, prepend=-1))
+        sent = [
+            {"bucket": int(home[x]), "data": packed(steps(pairs[x:y], np.zeros(1, int)), weights[x:y])}
+            for x, y in zip(edges.tolist(), [*edges.tolist(), len(home)][1:], strict=True)
+        ]
+        row = [[TaskContext.get().partitionId() << 32 | k], [zstandard.compress(pickle.dumps(found, pickle.HIGHEST_PROTOCOL), 1)], [sent]]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, BLOCK_TYPES, strict=True)], ["block", "texts", "sent"])
+
+
+def pair_counts(messages: pa.Table) -> pa.Table:
+    """Adds up a bucket's pairs; each block gets its pairs' counts, and whether each is the highest of its id."""
+    bucket, of = messages.column("bucket")[0].as_py(), messages.column("block").to_pylist()
+    found = [unpacked(x) for x in messages.column("data").to_pylist()]
+    pairs, place = np.unique(np.concatenate([np.cumsum(p) for p, _ in found]), return_inverse=True)
+    place = place.ravel()
+    counts = added(place, np.concatenate([n for _, n in found]), len(pairs))
+    own = np.flatnonzero(np.diff(pairs >> 32, prepend=-1))
+    best = counts == np.repeat(np.maximum.reduceat(counts, own), np.diff([*own, len(pairs)]))
+    ends = np.cumsum([len(p) for p, _ in found])
+    mine = [place[e - len(p) : e] for e, (p, _) in zip(ends.tolist(), found, strict=True)]
+    columns = [[bucket] * len(of), of, [packed(counts[m], best[m]) for m in mine]]
+    return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["bucket", "block", "data"])
 
 
 def measured(left: pa.Table, right: pa.Table) -> pa.Table:
     """The measures of a block's texts from the counts of its pairs."""
-    digest, rows, size, groups, begins, steps, times = pickle.loads(zstandard.decompress(left.column("texts")[0].as_py()))
-    steps, times = unpacked(steps), unpacked(times)
-    order = np.argsort(right.column("pos").to_numpy())
-    counts, best = right.column("count").to_numpy()[order], right.column("best").to_numpy(zero_copy_only=False)[order]
-    place = np.cumsum(steps)
-    before = np.concatenate([[0], place])[begins[:-1]]
-    place = place - np.repeat(before, np.diff(begins))
+    digest, rows, size, groups, begins, links = pickle.loads(zstandard.decompress(left.column("texts")[0].as_py()))
+    place, times = unpacked(links)
+    place = from_steps(place, np.diff(begins))
+    told = [unpacked(data) for _, data in sorted(zip(right.column("bucket").to_pylist(), right.column("data").to_pylist(), strict=True))]
+    counts, best = (np.concatenate([np.zeros(0, np.int64), *(t[k] for t in told)]) for k in (0, 1))
 
     def sums(values: np.ndarray) -> np.ndarray:
         total = np.concatenate([[0], np.cumsum(values)])
         return total[begins[1:]] - total[begins[:-1]]
 
-    links = sums(times)
-    columns = [digest, rows, size[:, 0], size[:, 1], links, links, sums(times * best[place]), sums(times * counts[place]), groups]
+    linked = sums(times)
+    columns = [digest, rows, size[:, 0], size[:, 1], linked, linked, sums(times * best[place]), sums(times * counts[place]), groups]
     return pa.table([pa.array(c, k) for c, k in zip(columns, [pa.binary(), *[pa.int64()] * 7, pa.string()], strict=True)], ["digest", "n", *MEASURES, "groups_sha256"])
 
 
-def text_measures(texts: DataFrame, first: str = FIRST, second: str = SECOND, block_bytes: int = BLOCK_BYTES, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def text_measures(
+    texts: DataFrame, buckets: int, first: str = FIRST, second: str = SECOND, block_bytes: int = BLOCK_BYTES, batch_bytes: int = BATCH_BYTES
+) -> DataFrame:
     """Measures of distinct texts (``text``, and ``n``, the rows that hold it) by their ``digest``."""
     ship(texts.sparkSession)
     rows = texts.select("text", "n", F.unhex(F.sha2("text", 256)).alias("digest"))
-    kept = stored(rows.mapInArrow(lambda it: stored_block((first, second), (block_bytes, batch_bytes), it), "block long, pairs array<long>, weights array<long>, texts binary"))
-    counts = kept.select(F.explode(F.arrays_zip("pairs", "weights")).alias("p")).groupBy(F.col("p.pairs").alias("pair")).agg(F.sum("p.weights").alias("count"))
-    counts = stored(counts)
-    best = counts.groupBy(F.expr("shiftright(pair, 32)").alias("b")).agg(F.max("count").alias("most"))  # a row for each id of the second tokenizer
-    known = counts.withColumn("b", F.expr("shiftright(pair, 32)")).join(F.broadcast(best), "b").select("pair", "count", (F.col("count") == F.col("most")).alias("best"))
-    asked = kept.select("block", F.posexplode("pairs").alias("pos", "pair"))
-    answers = asked.join(known, "pair").select(F.col("block").alias("of"), "pos", "count", "best")
+    kept = stored(rows.mapInArrow(lambda it: stored_block((first, second), (block_bytes, batch_bytes), buckets, it), BLOCK))
+    sent = kept.select("block", F.explode("sent").alias("m")).select("m.bucket", "block", "m.data")
+    replies = stored(sent.groupBy("bucket").applyInArrow(pair_counts, MESSAGE))
     schema = "digest binary, n long, " + ", ".join(f"{m} long" for m in MEASURES) + ", groups_sha256 string"
-    return kept.select("block", "texts").groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(measured, schema)
+    return kept.select("block", "texts").groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(measured, schema)
 
 
 def measure(docs: DataFrame, first: str = FIRST, second: str = SECOND, block_bytes: int = BLOCK_BYTES, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Every row's ``doc_id``, tokens of both, groups, links, best links, summed counts and the groups' digest."""
     texts = docs.where("text <> ''").groupBy("text").agg(F.count("*").alias("n"))
-    found = stored(text_measures(texts, first, second, block_bytes, batch_bytes))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    with scratch() as kept:
+        found = kept(stored(text_measures(texts, 8 + size // BUCKET_BYTES, first, second, block_bytes, batch_bytes)))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.expr("if(text <> '', unhex(sha2(text, 256)), null)").alias("digest"))
     both = spread_join(rows, found, "digest", "n", "left")
     return both.select("doc_id", *[F.coalesce(m, F.lit(0)).alias(m) for m in MEASURES], F.coalesce("groups_sha256", F.lit("")).alias("groups_sha256"))

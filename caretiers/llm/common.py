@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 from pathlib import Path
 from typing import Any
@@ -83,9 +85,33 @@ def stored(df: DataFrame) -> DataFrame:
     temporary(spark, path)
     read = spark.read.schema(df.schema).parquet(path)
     read.stored_at = path
+    if _scratch:
+        _scratch[-1].append(read)
     return read
 
 
+_scratch: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """What is ``stored`` inside is deleted at the end, but for frames given to the function that this gives."""
+    mine: list[DataFrame] = []
+
+    def kept(df: DataFrame) -> DataFrame:
+        mine[:] = [other for other in mine if other is not df]
+        if len(_scratch) > 1:
+            _scratch[-2].append(df)
+        return df
+
+    _scratch.append(mine)
+    try:
+        yield kept
+    finally:
+        _scratch.remove(mine)
+        discard(*mine)
+
+
 def discard(*frames: DataFrame) -> None:
     """Deletes what ``stored`` wrote for these frames; nothing made of them can be read after that."""
     for df in frames:
@@ -97,15 +123,15 @@ def share(total: int) -> int:
     return max(1000, total // 10_000)
 
 
-def spread_join(rows: DataFrame, small: DataFrame, key: str, size: str, how: str = "inner") -> DataFrame:
+def spread_join(rows: DataFrame, small: DataFrame, key: str, size: str, how: str = "inner", total: int | None = None) -> DataFrame:
     """``rows`` joined with ``small`` on ``key``, where hot keys are split over many tasks at any size.
 
     ``small`` has one row for each key, and in ``size`` how many of ``rows`` have that key. A key with more
     than ``share`` rows is copied once for each share of them, and its rows are dealt over the copies.
-    At most 10,000 keys are so hot; only these are broadcast, with their number of copies.
+    At most 10,000 keys are so hot; only these are broadcast, with their number of copies. ``total`` is the
+    number of ``rows``, or more; without it the sizes are summed, so ``small`` should be stored.
     """
-    total = small.agg(F.sum(size)).first()[0] or 0
-    most = share(total)
+    most = share(total if total is not None else small.agg(F.sum(size)).first()[0] or 0)
     hot = small.where(F.col(size) > most).select(key, F.expr(f"`{size}` div {most} + 1").alias("_copies"))
     copied = small.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"if(`{size}` > {most}, `{size}` div {most}, 0)"))))
     dealt = rows.withColumn("_row", F.monotonically_increasing_id()).join(F.broadcast(hot), key, "left")

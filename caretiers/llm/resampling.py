@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caretiers.llm.common import documents, ship, stored
+from caretiers.llm.common import documents, scratch, ship, stored
 from caretiers.llm.wordhash import ALNUM, LOWER, blocks, text_bytes
 
 #: Words in a feature, at most.
@@ -179,7 +179,8 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, min_wor
     dealt = scored(weights(docs, target, max_words, buckets), seed).withColumn("out", of)
     order = [F.col("out"), F.col("score").desc(), F.col("doc_id").asc_nulls_last()]
     # The partition and the place in it, as they are while the sorted rows are written.
-    sorted_rows = stored(stored(dealt).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id()))
+    with scratch() as kept:
+        sorted_rows = kept(stored(stored(dealt).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id())))
     rows = sorted_rows.withColumn("part", F.expr("shiftright(place, 33)")).withColumn("place", F.expr("place & 8589934591"))
     sizes = rows.groupBy("part").agg(F.count("*").alias("n"), F.count_if(F.col("out") == 0).alias("m"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition

@@ -88,5 +88,6 @@ def test_text_on_very_many_rows_is_split(spark, make, tokens):
 def test_empty_tables_and_further_columns(spark, make):
     assert alignment.measure(make([])).count() == 0
     assert [tuple(r)[1:] for r in alignment.measure(make([(1, None), (2, "")])).collect()] == [(0, 0, 0, 0, 0, 0, "")] * 2
+    assert [r["n_a"] for r in alignment.measure(make([(1, "▁low")])).collect()] == [0]
     docs = make([(1, "some text")]).withColumns({c: F.lit("x") for c in ("digest", "n", "n_a", "_copy", "block", "count")})
     assert alignment.measure(docs).first()["n_a"] == 2
