@@ -81,10 +81,17 @@ def run_silver(warehouse: Warehouse) -> Silver:
 
 def save_silver_tables(warehouse: Warehouse, silver: Silver) -> Silver:
     """Store the silver frames and give them back as tables, so later steps read the stored rows."""
-    frames = {"patient": silver.patient, "condition": silver.condition, "observation": silver.observation}
-    warehouse.write_all(C.Schema.SILVER, frames)
-    stored = {name: type(frame).from_df(warehouse.read(C.Schema.SILVER, name)) for name, frame in frames.items()}
-    return Silver(**stored)
+    return save_and_report(warehouse, silver)[0]
+
+
+def save_and_report(warehouse: Warehouse, silver: Silver) -> tuple[Silver, dict[str, dict[str, object]]]:
+    """Store the silver frames; the tables, and each frame's report, collected while its rows were written."""
+    tables, found = {}, {}
+    for name, frame in (("patient", silver.patient), ("condition", silver.condition), ("observation", silver.observation)):
+        rows, report = reports.observed(name, frame)
+        warehouse.write(C.Schema.SILVER, name, rows)
+        tables[name], found[name] = type(frame).from_df(warehouse.read(C.Schema.SILVER, name)), report()
+    return Silver(**tables), found
 
 
 def run_gold(silver: Silver, as_of: datetime.date | None = None) -> C.ObservationsPerPatient:
@@ -98,9 +105,9 @@ def print_bronze_summary(summary: DataFrame) -> None:
         print(f"  {row['table']}: {row['rows']}")
 
 
-def print_report(title: str, report: DataFrame) -> None:
-    """Print a one-row summary and validation report."""
-    row = report.first().asDict()
+def print_report(title: str, report: DataFrame | dict[str, object]) -> None:
+    """Print a summary and validation report: a frame of one row, or its columns and values."""
+    row = report if isinstance(report, dict) else report.first().asDict()
     total_name = next(iter(row))
     total = row[total_name]
     print(f"{title}: {total}")
@@ -134,10 +141,14 @@ def run_pipeline(
     if quarantine:
         print(f"malformed bundles: {warehouse.malformed().count()}")
     silver = run_silver(warehouse)
+    found = {
+        "patient": reports.patient_report(silver.patient),
+        "condition": reports.condition_report(silver.condition),
+        "observation": reports.observation_report(silver.observation),
+    }
     if debug:
-        silver = save_silver_tables(warehouse, silver)
-    print_report("patient", reports.patient_report(silver.patient))
-    print_report("condition", reports.condition_report(silver.condition))
-    print_report("observation", reports.observation_report(silver.observation))
+        silver, found = save_and_report(warehouse, silver)
+    for name, report in found.items():
+        print_report(name, report)
     warehouse.write(C.Schema.GOLD, GOLD_TABLE, run_gold(silver, as_of))
     print(f"gold.{GOLD_TABLE}: {warehouse.read(C.Schema.GOLD, GOLD_TABLE).count()}")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from caretiers.operators.validation import CONDITION_RULES, OBSERVATION_RULES, PATIENT_RULES
 from caretiers.typed import TypedDataFrame, plain
 
 Frame = DataFrame | TypedDataFrame
@@ -175,6 +176,40 @@ def _report(validated: Frame, total: str, fields: Mapping[str, str]) -> DataFram
     )
 
 
+#: Of each silver frame: the column of its total, its fields, its rules.
+_REPORTED = {
+    "patient": ("total_patients", _patient_fields, PATIENT_RULES),
+    "condition": ("total_conditions", _condition_fields, CONDITION_RULES),
+    "observation": ("total_observations", _observation_fields, OBSERVATION_RULES),
+}
+
+
+def observed(name: str, validated: Frame) -> tuple[DataFrame, Callable[[], dict[str, object]]]:
+    """A silver frame, by its name, whose report is collected while its rows go by.
+
+    The function gives the report's columns and values, as ``patient_report`` and the like do, once the frame
+    has been written. It counts each rule of the frame, so it has no rules of other frames.
+    """
+    total, fields, rules = _REPORTED[name]
+    seen = Observation()
+    broken = "array_contains(validation_errors, '{0}')"
+    metrics = _counts(fields() | {"valid_records": "size(validation_errors) = 0"} | {f"broken_{r.name}": broken.format(r.name) for r in rules})
+    frame = plain(validated).observe(seen, F.count("*").alias(total), *metrics)
+
+    def report() -> dict[str, object]:
+        found = seen.get
+        rows, valid = found[total], found["valid_records"]
+        errors = [(-found[f"broken_{r.name}"], r.name) for r in rules if found[f"broken_{r.name}"]]
+        return {total: rows, **{field: found[field] for field in fields()}} | {
+            "valid_records": valid,
+            "invalid_records": rows - valid,
+            "validity_rate": valid / rows if rows else 0.0,
+            "errors_by_rule": [{"error": rule, "count": -n} for n, rule in sorted(errors)],
+        }
+
+    return frame, report
+
+
 def validation_report(validated: Frame) -> DataFrame:
     """One row: ``total_records``, ``valid_records``, ``invalid_records``, ``validity_rate`` (0 for
     no rows) and ``errors_by_rule``, an array of (error, count), most frequent first."""

@@ -170,13 +170,51 @@ def column_types(variant_schema: str) -> str:
     return _NAME_OR_TYPE.sub(column_type, variant_schema)
 
 
-def nested_columns(bronze: DataFrame) -> DataFrame:
+def schema_of_types() -> Column:
+    """An aggregate over bronze rows of all types: an object with a field for each type, its resources' merged schema."""
+    return F.schema_of_variant_agg(F.to_variant_object(F.create_map("bronze_table", "resource")))
+
+
+def schemas_by_type(merged: str | None) -> dict[str, str]:
+    """The schema of each type from ``schema_of_types``."""
+    found, start = {}, len("OBJECT<")
+    while merged and start < len(merged):
+        name, colon = _field_name(merged, start)
+        end = _end_of_type(merged, colon)
+        found[name] = merged[colon:end].strip()
+        start = end + 1
+    return found
+
+
+def _field_name(schema: str, start: int) -> tuple[str, int]:
+    """The name of the field that begins there, and where its type begins."""
+    found = re.compile(r"\s*(?:`((?:[^`]|``)*)`|([^:`]+))\s*:\s*").match(schema, start)
+    return (found[2] or found[1].replace("``", "`")).strip(), found.end()
+
+
+def _end_of_type(schema: str, start: int) -> int:
+    """Where the type that begins there ends: at a comma or a closing bracket of the object around it."""
+    depth, quoted = 0, False
+    for i in range(start, len(schema)):
+        c = schema[i]
+        quoted ^= c == "`"
+        if quoted:
+            continue
+        if depth == 0 and c in ",>":
+            return i
+        # A decimal's brackets hold a comma too.
+        depth += (c in "<(") - (c in ">)")
+    return len(schema)
+
+
+def nested_columns(bronze: DataFrame, schema: str | None = None) -> DataFrame:
     """The resource as nested columns, one per JSON field, with the schema merged over all rows.
 
-    Finding the schema is one aggregate over the data. To skip that, read the fields you need
-    with ``functions.fhir.read``.
+    Without ``schema``, as ``schema_of_variant_agg`` gives it, finding it is one aggregate over the data. To
+    skip that, read the fields you need with ``functions.fhir.read``; of stored bronze, ``Warehouse.nested`` knows it.
     """
-    schema = bronze.agg(F.schema_of_variant_agg("resource")).first()[0]
+    if schema is None:
+        schema = bronze.agg(F.schema_of_variant_agg("resource")).first()[0]
     if not schema.startswith("OBJECT<") or schema == "OBJECT<>":
         return bronze.select(*LINEAGE)
     fields = F.try_variant_get("resource", "$", column_types(schema))

@@ -7,12 +7,12 @@ import uuid
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from caretiers.contracts import Schema
 from caretiers.sources import files
-from caretiers.sources.bundles import BRONZE, MALFORMED, table_name_of
+from caretiers.sources.bundles import BRONZE, MALFORMED, nested_columns, schema_of_types, schemas_by_type, table_name_of
 from caretiers.typed import TypedDataFrame, plain
 
 
@@ -93,8 +93,12 @@ class Warehouse:
 
     def manifest(self, schema: str) -> dict[str, list[str]]:
         """The directories of each table, relative to the layer's."""
+        return self._kept(schema)["tables"]
+
+    def _kept(self, schema: str) -> dict[str, dict]:
+        """The manifest: ``tables``, and of bronze's directories the ``schemas`` of their resources."""
         text = files.read_text(self.spark, f"{self.path(schema)}/{MANIFEST}")
-        return json.loads(text) if text else {}
+        return json.loads(text) if text else {"tables": {}, "schemas": {}}
 
     def places(self, schema: str, table: str) -> list[str]:
         return [f"{self.path(schema)}/{place}" for place in self.manifest(schema).get(table, [])]
@@ -134,8 +138,8 @@ class Warehouse:
 
         Types that are not in this load keep their earlier rows.
         """
-        load = uuid.uuid4().hex
-        self._commit(Schema.BRONZE, {table: [place] for table, place in self._load(entries, load).items()})
+        added, schemas = self._load(entries, uuid.uuid4().hex)
+        self._commit(Schema.BRONZE, {table: [place] for table, place in added.items()}, schemas)
 
     def add_bronze(self, entries: DataFrame, load: str) -> None:
         """Write all resource types in one job, beside the rows of earlier loads.
@@ -145,17 +149,20 @@ class Warehouse:
         before = self.manifest(Schema.BRONZE)
         if any(place.startswith(f"load={load}/") for places in before.values() for place in places):
             return
-        added = self._load(entries, load)
-        self._commit(Schema.BRONZE, {table: [*before.get(table, []), place] for table, place in added.items()})
+        added, schemas = self._load(entries, load)
+        self._commit(Schema.BRONZE, {table: [*before.get(table, []), place] for table, place in added.items()}, schemas)
 
     def compact_bronze(self, resource_type: str) -> None:
         """Write a type's rows of many loads as those of one."""
         name = table_name_of(resource_type)
         rows = self.bronze(resource_type).withColumn("bronze_table", F.lit(name))
-        self._commit(Schema.BRONZE, {name: [place] for place in self._load(rows, uuid.uuid4().hex).values()})
+        added, schemas = self._load(rows, uuid.uuid4().hex)
+        self._commit(Schema.BRONZE, {name: [place] for place in added.values()}, schemas)
+
+    def _load(self, entries: DataFrame, load: str) -> tuple[dict[str, str], dict[str, str]]:
+        """Write a load; gives the directory of each type in it, and the schema of the resources in each directory.
 
-    def _load(self, entries: DataFrame, load: str) -> dict[str, str]:
-        """Write a load; gives the directory of each type in it.
+        Schemas are merged while the rows go by on their way to the files.
 
         The rows are rebalanced by type on their real sizes, so a type that holds most rows is
         spread over many tasks and a rare one does not leave a small file per task. That is adaptive
@@ -164,10 +171,14 @@ class Warehouse:
         if self.spark.conf.get("spark.sql.adaptive.enabled") != "true":
             raise ValueError("writing bronze needs spark.sql.adaptive.enabled, or one task would write all rows of a type")
         path = f"{self.path(Schema.BRONZE)}/load={load}"
-        entries.hint("rebalance", "bronze_table").write.partitionBy("bronze_table").mode("overwrite").parquet(path)
+        seen = Observation()
+        rows = entries.observe(seen, schema_of_types().alias("types"))
+        rows.hint("rebalance", "bronze_table").write.partitionBy("bronze_table").mode("overwrite").parquet(path)
         start = "bronze_table="
         names = [name for name in files.directories(self.spark, path) if name.startswith(start)]
-        return {name.removeprefix(start): f"load={load}/{name}" for name in names}
+        places = {name.removeprefix(start): f"load={load}/{name}" for name in names}
+        schemas = schemas_by_type(seen.get["types"]) if places else {}
+        return places, {place: schemas[table] for table, place in places.items()}
 
     def bronze(self, resource_type: str) -> DataFrame:
         """Bronze rows of one type; no rows if there is no such table."""
@@ -176,6 +187,19 @@ class Warehouse:
             return self.spark.createDataFrame([], BRONZE)
         return self.read(Schema.BRONZE, name)
 
+    def nested(self, resource_type: str) -> DataFrame:
+        """Bronze rows of one type with a column for each JSON field.
+
+        The schema was kept when the rows were written. Only where loads with different schemas lie side by side
+        is it merged over the rows; ``compact_bronze`` makes them one.
+        """
+        name, rows = table_name_of(resource_type), self.bronze(resource_type)
+        kept = self._kept(Schema.BRONZE)
+        schemas = {kept["schemas"].get(place) for place in kept["tables"].get(name, [])}
+        if not schemas:
+            return nested_columns(rows, "OBJECT<>")
+        return nested_columns(rows, schemas.pop() if len(schemas) == 1 else None)
+
     def malformed(self) -> DataFrame:
         """Bundles that could not be parsed, where loads were told to keep them: ``source_file`` and ``text``."""
         columns = ["_source_file AS source_file", "try_variant_get(resource, '$', 'string') AS text"]
@@ -189,15 +213,18 @@ class Warehouse:
             for table in self.tables(schema):
                 self._register(schema, table)
 
-    def _commit(self, schema: str, changed: dict[str, list[str]]) -> None:
+    def _commit(self, schema: str, changed: dict[str, list[str]], schemas: Mapping[str, str] | None = None) -> None:
         """The directories become the tables' rows. Until the manifest is replaced nothing has changed."""
-        before = self.manifest(schema)
+        kept = self._kept(schema)
+        before = kept["tables"]
         after = before | changed
-        files.replace_text(self.spark, f"{self.path(schema)}/{MANIFEST}", json.dumps(after, indent=1))
+        current = {place for places in after.values() for place in places}
+        known = {place: text for place, text in (kept["schemas"] | dict(schemas or {})).items() if place in current}
+        files.replace_text(self.spark, f"{self.path(schema)}/{MANIFEST}", json.dumps({"tables": after, "schemas": known}, indent=1))
         for table in changed:
             if table != MALFORMED:
                 self._register(schema, table)
-        used = {place for manifest in (before, after) for places in manifest.values() for place in places}
+        used = current | {place for places in before.values() for place in places}
         for directory in files.directories(self.spark, self.path(schema)):
             if directory.startswith("_"):
                 continue

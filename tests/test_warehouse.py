@@ -8,10 +8,12 @@ import pytest
 from caretiers import build_session
 from caretiers.__main__ import main
 from caretiers.operators.flatten import flatten_condition, flatten_observation, flatten_patient
-from caretiers.plans.pipeline import run_bronze, run_bronze_new, run_gold, run_pipeline, run_silver, save_silver_tables
+from caretiers.plans.pipeline import run_bronze, run_bronze_new, run_gold, run_pipeline, run_silver, save_and_report, save_silver_tables
+from caretiers.plans import reports
 from caretiers.sources import files, tables
-from caretiers.sources.bundles import explode_entries, of_type, parse_bundles
+from caretiers.sources.bundles import explode_entries, nested_columns, of_type, parse_bundles
 from caretiers.sources.tables import Warehouse
+from workload.bundles import condition_bundles, observation_bundles, patient_bundles
 
 
 @pytest.fixture
@@ -304,3 +306,31 @@ def test_malformed_lines_are_kept_aside(spark, tmp_path):
     assert [tuple(r) for r in warehouse.malformed().collect()] == [("a.json", "{bad")]
     for schema in ("bronze", "silver", "gold"):
         spark.sql(f"DROP DATABASE lines_{schema} CASCADE")
+
+
+def test_reports_collected_while_silver_is_written(spark, warehouse):
+    place = f"{warehouse.root}/in"
+    for make in (patient_bundles, observation_bundles, condition_bundles):
+        make(spark, "/root/testdata/sf0.001").select("bundle").write.mode("append").text(place)
+    run_bronze(warehouse, place, lines=True, names="*.txt")
+    silver = run_silver(warehouse)
+    _, found = save_and_report(warehouse, silver)
+    for name, report in (("patient", reports.patient_report), ("condition", reports.condition_report), ("observation", reports.observation_report)):
+        assert found[name] == report(getattr(silver, name)).first().asDict(recursive=True), name
+
+
+def test_nested_columns_of_stored_rows_run_no_job(spark, warehouse, bundle_dir):
+    (bundle_dir / "odd.json").write_text(json.dumps({"id": "o", "entry": [{"resource": {"resourceType": "Patient", "id": "q", "a,b>`c": {"x<": [1, 2.5]}, "n": 1.25}}]}))
+    run_bronze(warehouse, str(bundle_dir))
+    context = spark.sparkContext
+    context.setJobGroup("nested", "")
+    nested = {t: warehouse.nested(t) for t in ("Patient", "Observation", "Foo/Bar %1", "None")}
+    assert not context.statusTracker().getJobIdsForGroup("nested")
+    context.setLocalProperty("spark.jobGroup.id", None)
+    for t in ("Patient", "Observation", "Foo/Bar %1"):
+        expected = nested_columns(warehouse.bronze(t))
+        assert nested[t].schema == expected.schema
+        assert sorted(map(str, nested[t].collect())) == sorted(map(str, expected.collect()))
+    assert nested["None"].count() == 0
+    warehouse.add_bronze(explode_entries(parse_bundles(spark.createDataFrame([("f", bundle("z", "Patient"))], "source_file string, bundle string"))), "more")
+    assert warehouse.nested("Patient").count() == 5 and "birthDate" in warehouse.nested("Patient").columns
