@@ -1,26 +1,31 @@
 """Licence notices in documents: MinHash bands retrieve templates, shingle containment verifies them.
 
 Words are runs of letters and digits in lower case; shingles are five words (a template of fewer words
-would be one shingle; none is). Shingles that occur in no template cannot count for containment, so
-windows hold only the others: at each such shingle windows begin, one for every template length,
-half as long again as the template, so that they overlap, and one starts at a template's first shingle
-wherever it stands. ``BANDS`` bands of one MinHash each retrieve the templates that share a band; a
-window of similarity s meets its template with probability 1 - (1 - s) ** BANDS, over 0.9999998 at 0.5.
-A template is reported where a window holds ``CONTAINMENT`` of its shingles or more, counted exactly.
-
-The templates are a parameter with a fixed number of rows and are broadcast. Null and empty texts have
-no licences. Rows with equal ids (null included) share the licences found in any of them.
+would be one shingle; none is). Shingles that occur in no template cannot count for containment, so only
+the others, a row each, go on. Windows are as long as the longest template and half of it. Of the hits of each
+template, overlapping stretches of two windows, one every window, make MinHashes; ``BANDS`` bands of one MinHash
+each retrieve the templates that share a band. A stretch that holds a window of containment s meets its template
+with probability 1 - (1 - s) ** BANDS, over 0.9999998 at 0.5. A retrieved template is reported where some
+window holds ``CONTAINMENT`` of its shingles or more: each hit is one more distinct shingle for the windows
+that begin after its last occurrence, so running sums over begins and ends give all windows' counts exactly, in
+time that grows with the hits.
+
+Templates are a dictionary or a frame of ``name`` and ``text``; with up to ``BROADCAST`` shingles they are
+broadcast, with more they are joined by shuffles. Null and empty texts have no licences. Rows with equal ids
+(null included) share the licences found in any of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from caretiers.llm.common import documents, let
+from caretiers.llm.common import documents, let, stored
 
 BANDS = 22
 CONTAINMENT = 0.75
+#: Shingles of all templates, up to which they are broadcast.
+BROADCAST = 500_000
 
 # Notices and opening paragraphs of well-known licences.
 TEMPLATES = {
@@ -55,41 +60,42 @@ def minhashes(hashes: str) -> str:
     return f"transform(sequence(1, {BANDS}), _b -> array_min(transform({hashes}, _h -> xxhash64(_h, _b))))"
 
 
-def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
+def template_table(spark: SparkSession, templates: dict[str, str] | DataFrame) -> DataFrame:
     """``name``, its distinct shingles and their MinHashes; as many rows as templates."""
-    rows = ", ".join(f"struct('{name}' as name, {literal(text)} as text)" for name, text in sorted(templates.items()))
-    return (
-        spark.range(1)
-        .selectExpr(f"inline(array({rows}))")
-        .selectExpr("name", f"array_distinct({shingles('text')}) as wanted")
-        .selectExpr("name", "wanted", f"{minhashes('wanted')} as bands")
-    )
+    if isinstance(templates, dict):
+        templates = spark.createDataFrame(sorted(templates.items()), "name string, text string")
+    shingled = templates.selectExpr("name", f"array_distinct({shingles("coalesce(text, '')")}) as wanted").where("size(wanted) > 0")
+    return stored(shingled.selectExpr("name", "wanted", f"{minhashes('wanted')} as bands"))
 
 
-def literal(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
+def scan(docs: DataFrame, templates: dict[str, str] | DataFrame = TEMPLATES) -> DataFrame:
     """``doc_id``, ``n_licenses`` and ``licenses``, the sorted names joined by commas, for every row."""
     table = template_table(docs.sparkSession, templates)
-    known = [(r["name"], r["wanted"]) for r in table.select("name", "wanted").collect()]
-    vocabulary = ", ".join(f"{h}L" for h in sorted({h for _, hashes in known for h in hashes}))
-    lengths = ", ".join(str(n) for n in sorted({(3 * len(hashes) + 1) // 2 for _, hashes in known}))
-    hits = (
-        docs.selectExpr("doc_id", f"{shingles('text')} as hashes")
-        .selectExpr("doc_id", f"filter(transform(hashes, (_h, _i) -> if(_h in ({vocabulary}), struct(_i as at, _h as hash), null)), _x -> _x is not null) as hits")
-        .where("size(hits) > 0")
-    )
-    window = "array_distinct(transform(filter(slice(hits, _k + 1, _n), _y -> _y.at < _x.at + _n), _y -> _y.hash))"
-    windows = (
-        hits.selectExpr("doc_id", f"explode(array_distinct(flatten(transform(array({lengths}), _n -> transform(hits, (_x, _k) -> {window}))))) as held")
-        .selectExpr("doc_id", "held", f"posexplode({minhashes('held')}) as (band, value)")
-    )
-    bands = table.selectExpr("name", "wanted", "posexplode(bands) as (band, value)")
-    enough = f"size(array_intersect(held, wanted)) >= {CONTAINMENT} * size(wanted)"
-    found = windows.join(F.broadcast(bands), ["band", "value"]).where(enough)
-    named = found.groupBy("doc_id").agg(F.array_sort(F.collect_set("name")).alias("names"))
+    size, longest = table.agg(F.coalesce(F.sum(F.size("wanted")), F.lit(0)), F.coalesce(F.max(F.expr("(3 * size(wanted) + 1) div 2")), F.lit(1))).first()
+
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if size <= BROADCAST else df
+
+    # A row is named by its id and text; rows with both equal are one.
+    name = "concat(coalesce(cast(doc_id as string), ''), ':', xxhash64(text)) as row"
+    every = docs.where("text <> ''").selectExpr("doc_id", name, f"posexplode({shingles('text')}) as (at, hash)")
+    hits = stored(every.join(small(table.selectExpr("name", "explode(wanted) as hash")), "hash").select("doc_id", "row", "name", "at", "hash"))
+    stretches = hits.selectExpr("row", "name", "hash", f"explode(array(at div {longest}, at div {longest} - 1)) as stretch")
+    held = stretches.groupBy("row", "name", "stretch").agg(F.collect_set("hash").alias("held"))
+    values = held.selectExpr("row", f"posexplode({minhashes('held')}) as (band, value)")
+    bands = table.selectExpr("name", "posexplode(bands) as (band, value)")
+    retrieved = values.join(small(bands), ["band", "value"]).select("row", "name").distinct()
+
+    # Each hit is a shingle more for windows from after its last occurrence, or from where they reach it, to itself.
+    own = hits.join(retrieved, ["row", "name"]).distinct()
+    last = F.lag("at").over(Window.partitionBy("row", "name", "hash").orderBy("at"))
+    since = own.withColumn("since", F.greatest(F.coalesce(last, F.lit(-longest)) + 1, F.col("at") - longest + 1))
+    changes = since.selectExpr("doc_id", "row", "name", "inline(array(struct(since as place, 1 as change), struct(at + 1 as place, -1 as change)))")
+    summed = changes.groupBy("doc_id", "row", "name", "place").agg(F.sum("change").alias("change"))
+    count = F.sum("change").over(Window.partitionBy("doc_id", "row", "name").orderBy("place"))
+    most = summed.withColumn("count", count).groupBy("doc_id", "row", "name").agg(F.max("count").alias("count"))
+    enough = most.join(small(table.selectExpr("name", "size(wanted) as size")), "name").where(f"count >= {CONTAINMENT} * size")
+    named = enough.groupBy("doc_id").agg(F.array_sort(F.collect_set("name")).alias("names"))
     both = docs.select("doc_id").alias("d").join(named.alias("f"), F.expr("d.doc_id <=> f.doc_id"), "left")
     return both.selectExpr("d.doc_id as doc_id", "cast(coalesce(size(names), 0) as bigint) as n_licenses", "coalesce(array_join(names, ','), '') as licenses")
 

@@ -1,10 +1,11 @@
 """Removal of boilerplate lines by the number of sites that they appear on.
 
-Every line that is long enough is hashed. Per hash, HyperLogLog sketches of the sites are merged by
+Every line with a word is hashed. Per hash, HyperLogLog sketches of the sites are merged by
 aggregation, partly before the shuffle, so that a line on every page costs one sketch per task. Where
 the estimate is within its error of the threshold, the distinct sites are counted exactly. A line on
 ``MIN_SITES`` sites or more is boilerplate. It stays in the document with the smallest id among those
-that hold it, so that no text is lost, and goes from all others.
+that hold it, so that no text is lost, and goes from all others. Documents that hold a line are found by
+joins in which the rows of a very common line are dealt over many tasks, by how many rows it has.
 
 A null or empty text has no lines; rows whose site is null add no site; rows with equal ids share the
 lines to remove; rows without an id count for the sites but keep their text. Documents whose lines all
@@ -16,12 +17,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caretiers.llm.common import documents, keep_columns
+from caretiers.llm.common import documents, keep_columns, spread_join, stored
 
 #: Sites from which a line is boilerplate.
 MIN_SITES = 10
-#: Words that a line must have: shorter ones recur by chance.
-MIN_WORDS = 3
+#: Words that a line must have to be counted. A line without spaces, of any script, is one word.
+MIN_WORDS = 1
 #: Binary logarithm of the sketch's buckets; the relative standard error is 1.04 / sqrt(2 ** LG_K).
 LG_K = 12
 
@@ -36,24 +37,23 @@ def line_rows(docs: DataFrame, min_words: int) -> DataFrame:
 
 
 def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
-    """``line`` (a hash) and ``first_id`` of the lines on ``min_sites`` sites or more."""
+    """``line`` (a hash), ``first_id`` and ``n`` (its documents) of the lines on ``min_sites`` sites or more."""
     rows = line_rows(docs, min_words)
     sketches = rows.groupBy("line").agg(
-        F.expr(f"hll_sketch_estimate(hll_sketch_agg(site, {LG_K}))").alias("sites"), F.min("id").alias("first_id")
+        F.expr(f"hll_sketch_estimate(hll_sketch_agg(site, {LG_K}))").alias("sites"), F.min("id").alias("first_id"), F.count("*").alias("n")
     )
     margin = 1 + 4 * 1.04 * min_sites / 2 ** (LG_K / 2)
-    high = sketches.where(f"sites >= {min_sites - margin}")
-    sure = high.where(f"sites > {min_sites + margin}").select("line", "first_id")
-    near = high.where(f"sites <= {min_sites + margin}").select("line", "first_id")
-    exact = (
-        rows.join(near, "line").select("line", "first_id", "site").distinct().groupBy("line", "first_id").agg(F.count("site").alias("n"))
-    )
-    return sure.unionByName(exact.where(f"n >= {min_sites}").select("line", "first_id"))
+    high = stored(sketches.where(f"sites >= {min_sites - margin}"))
+    sure = high.where(f"sites > {min_sites + margin}").select("line", "first_id", "n")
+    near = high.where(f"sites <= {min_sites + margin}").select("line", "n")
+    sites = spread_join(rows, near, "line", "n").select("line", "site").distinct().groupBy("line").agg(F.count("site").alias("exact"))
+    exact = high.join(sites.where(f"exact >= {min_sites}").select("line"), "line", "left_semi")
+    return stored(sure.unionByName(exact.select("line", "first_id", "n")))
 
 
 def lines_to_drop(docs: DataFrame, min_sites: int, min_words: int) -> DataFrame:
     """``id`` and the hashes of its lines that go."""
-    found = line_rows(docs, min_words).join(boilerplate(docs, min_sites, min_words), "line").where("id <> first_id")
+    found = spread_join(line_rows(docs, min_words), boilerplate(docs, min_sites, min_words), "line", "n").where("id <> first_id")
     return found.groupBy("id").agg(F.collect_set("line").alias("drop"))
 
 

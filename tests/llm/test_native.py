@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import random
 import re
+import time
 from collections import Counter
 
 import duckdb
 import pytest
 
-from caretiers.llm import licenses, lines, quality, registry, sharding
+from caretiers.llm import common, licenses, lines, quality, registry, sharding
 
 SF = "/root/testdata/sf0.001"
 
@@ -58,6 +60,15 @@ def test_boilerplate_stays_once(make, spark):
     assert got[None]["text"] == line and out.count() == len(rows)
 
 
+def test_short_lines_and_lines_without_spaces_count(make, monkeypatch):
+    monkeypatch.setattr(common, "share", lambda total: 40)  # common lines are dealt over copies
+    short = ["hello world", "menu", "版权所有翻版必究保留一切权利", "--"]
+    rows = [(i, "\n".join([*short, " \t", f"own {i}", ""]), f"site{i % 12}") for i in range(120)]
+    got = {r["doc_id"]: r["text"] for r in lines.remove(make(rows)).collect()}
+    assert got[0] == rows[0][1]
+    assert all(got[i] == f" \t\nown {i}\n" for i in range(1, 120))
+
+
 @pytest.mark.parametrize("sites", [8, 9, 10, 11, 12])
 def test_sites_near_the_threshold_are_counted_exactly(make, sites):
     rows = [(i, "the same five word line", f"s{i % sites}") for i in range(60)]
@@ -79,6 +90,30 @@ def test_licences_are_found_inside_other_text(make):
     assert licenses.scan(make([])).count() == 0
 
 
+def test_a_very_long_file_of_changed_licences(make):
+    rng = random.Random(7)
+    words = licenses.TEMPLATES["MIT"].split()
+    text = []
+    while len(text) < 150_000:
+        changed = list(words)
+        changed[rng.randrange(len(words))] = f"w{rng.randrange(10**6)}"
+        text += changed
+    long = " ".join(text)
+    assert len(long) > 900_000
+    start = time.time()
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan(make([(1, long), (2, long[: 30 * 6]), (1, "released under the mit license"), (3, "x " * 500_000)])).collect()}
+    assert got == {1: "MIT,MIT-notice", 2: "", 3: ""}
+    assert time.time() - start < 120  # each hit once; it took minutes a megabyte when windows were arrays
+
+
+@pytest.mark.parametrize("limit", [licenses.BROADCAST, 0])
+def test_templates_as_a_table(make, spark, monkeypatch, limit):
+    monkeypatch.setattr(licenses, "BROADCAST", limit)
+    table = spark.createDataFrame([("one", "a b c d e f g h"), ("two", "short text"), ("none", None), ("empty", "")], "name string, text string")
+    docs = make([(1, "x a b c d e f g h"), (2, "A b, c d e f"), (3, "short text"), (4, "a short text here"), (5, None)]).selectExpr("*", "'q' as name", "1 as hash", "2 as row")
+    assert {r["doc_id"]: r["licenses"] for r in licenses.scan(docs, table).collect()} == {1: "one", 2: "", 3: "two", 4: "", 5: ""}
+
+
 def test_lookup_table_is_even_and_stable():
     table = sharding.lookup_table()
     share = Counter(table)
