@@ -4,9 +4,11 @@ Base kinds (``email``, ``ip``, ``card``, ``phone``) are found leftmost and non-o
 matches that fail their check (parts over 255, digit count, Luhn) go, and the rest always stay.
 Further kinds start from a score that nearby words raise, and stay from ``KEEP`` on:
 
-* ``iban``: country, check digits, groups; mod-97 must be 1, which is proof enough.
+* ``iban``: country, check digits, and as many characters as the country's have, so that a word that follows is
+  not taken in; other countries' in groups. mod-97 must be 1, which is proof enough.
 * ``ssn``: ``ddd-dd-dddd``, kept beside words such as "social security".
-* ``secret``: a run of 16 or more letters and digits holding both, kept beside words such as "password".
+* ``secret``: a run of 16 or more letters, digits, ``_``, ``-``, ``/`` and ``+``, of any length, that has a letter
+  and a digit, kept beside words such as "password".
 
 Everything stays in one row: no shuffle, no Python. The patterns neither backtrack beyond a run of
 characters nor recurse, so time is linear in the text. Positions are code points, ends exclusive.
@@ -30,15 +32,35 @@ BLOCK = 256
 OCTET = "0*([0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 LOCAL = "[A-Za-z0-9._%+-]"
 
+# Lengths of IBANs and the countries that have them.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def iban_pattern() -> str:
+    """An IBAN of each length in groups of four, or of any country."""
+
+    def groups(size: int) -> str:
+        rest = f"(?: ?[A-Z0-9]{{{size % 4}}})" if size % 4 else ""
+        return f"(?: ?[A-Z0-9]{{4}}){{{size // 4}}}{rest}"
+
+    known = [f"(?:{countries.replace(' ', '|')})[0-9]{{2}}{groups(length - 4)}" for length, countries in IBAN_LENGTHS.items()]
+    return "|".join([*known, "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"])
+
+
 #: kind -> (what the text must hold, pattern). ``\G`` lets a match start where the last one ended.
 PATTERNS = {
     "email": ("instr({t}, '@') > 0", rf"(?:(?<!{LOCAL})|\G){LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"),
     "ip": ("{d}", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
     "card": ("{d}", r"[0-9](?:[ -]?[0-9])++"),
     "phone": ("instr({t}, '+') > 0", r"\+[0-9][ ().0-9-]+[0-9]"),
-    "iban": ("{d}", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"),
+    "iban": ("{d}", iban_pattern()),
     "ssn": ("{d}", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
-    "secret": ("{d}", r"(?<![A-Za-z0-9])[A-Za-z0-9]{16,128}(?![A-Za-z0-9])"),
+    "secret": ("{d}", r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,}+"),
 }
 BASE = ("email", "ip", "card", "phone")
 #: kind -> (score without context, gain beside one of the words, the words).
@@ -86,7 +108,7 @@ def scored(kind: str, before: str) -> str:
         return "true"
     score, gain, near = CONTEXT[kind]
     prefix = "0.6" if kind == "secret" else "0"
-    known = f"if(_x.v rlike '^(AKIA|ASIA)[A-Z0-9]{{16}}$', {prefix}, 0)" if kind == "secret" else "0"
+    known = f"if(_x.v rlike '(^|[^A-Za-z0-9])(AKIA|ASIA)[A-Z0-9]{{16}}($|[^A-Za-z0-9])', {prefix}, 0)" if kind == "secret" else "0"
     return f"{score} + if(lower(right({before}, {NEAR})) rlike {quoted(near)}, {gain}, 0) + {known} >= {KEEP}"
 
 
@@ -137,16 +159,16 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # A run of letters and digits, or of digits and hyphens, stands for the patterns with boundaries, which this SQL's
 # engine lacks.
-ORACLE = r"""
+ORACLE = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 k(kind, o, re) AS (VALUES
   ('email', 0, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'),
   ('ip', 1, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
   ('card', 2, '[0-9]([\x20-]?[0-9])+'),
   ('phone', 3, '\+[0-9][\x20().0-9-]+[0-9]'),
-  ('iban', 4, '[A-Z]{2}[0-9]{2}( ?[A-Z0-9]{4}){2,7}( ?[A-Z0-9]{1,3})?'),
+  ('iban', 4, '{iban_pattern()}'),
   ('ssn', 5, '[0-9-]+'),
-  ('secret', 6, '[A-Za-z0-9]+')),
+  ('secret', 6, '[A-Za-z0-9_/+-]+')),
 f AS (SELECT doc_id, t, kind, o, regexp_extract_all(t, re) AS m, list_transform(string_split_regex(t, re), lambda x: length(x)) AS g FROM d, k),
 r AS (
   SELECT doc_id, t, kind, o, unnest(m) AS v, unnest(list_transform(range(1, len(m) + 1), lambda i:
@@ -154,8 +176,8 @@ r AS (
   FROM f WHERE len(m) > 0),
 proposed AS (
   SELECT doc_id, t, kind, o, v, s::BIGINT AS s, (s + length(v))::BIGINT AS e, regexp_replace(v, '[^0-9]', '', 'g') AS digits
-  FROM r WHERE (kind <> 'ssn' OR regexp_full_match(v, '[0-9]{3}-[0-9]{2}-[0-9]{4}'))
-           AND (kind <> 'secret' OR length(v) BETWEEN 16 AND 128)),
+  FROM r WHERE (kind <> 'ssn' OR regexp_full_match(v, '[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}'))
+           AND (kind <> 'secret' OR length(v) >= 16)),
 near AS (
   SELECT *, lower(right(t[coalesce(lag(e) OVER (PARTITION BY doc_id, kind ORDER BY s), 0) + 1 : s], 40)) AS before FROM proposed),
 found AS (
@@ -170,7 +192,7 @@ found AS (
       list_prepend(0, list_transform(string_split(replace(v, ' ', '')[5:] || v[1:4], ''), lambda c: ascii(c) - CASE WHEN c BETWEEN '0' AND '9' THEN 48 ELSE 55 END)),
       lambda a, x: (a * CASE WHEN x > 9 THEN 100 ELSE 10 END + x) % 97) = 1
     WHEN 'ssn' THEN regexp_matches(before, 'ssn|social security|tax|sozialversicherung|seguridad social')
-    ELSE regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND (regexp_matches(v, '^(AKIA|ASIA)[A-Z0-9]{16}$')
+    ELSE regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND (regexp_matches(v, '(^|[^A-Za-z0-9])(AKIA|ASIA)[A-Z0-9]{{16}}($|[^A-Za-z0-9])')
       OR regexp_matches(before, 'password|passwd|pwd|token|secret|api.?key|access.?key|credential')) END)
 SELECT d.doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip, count(*) FILTER (kind = 'card') AS n_card,
        count(*) FILTER (kind = 'phone') AS n_phone,
