@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caretiers.llm.common import documents, ship, stored
+from caretiers.llm.common import documents, scratch, ship, spread_join, stored
 from caretiers.llm.graph import components
 from caretiers.llm.wordhash import NOT_SPACE, blocks, mix, shingles, text_bytes, words
 
@@ -314,7 +314,7 @@ def maybe_wanted(texts: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """For every row ``doc_id``, ``n`` (its number of shingles), ``sig`` (its class) and ``root`` (its component's)."""
+    """For every row ``doc_id``, ``key``, ``n`` (its number of shingles), ``sig`` (its class) and ``root`` (its component's)."""
     ship(docs.sparkSession)
     texts = docs.selectExpr("cast(doc_id as bigint) as doc_id", "text", "xxhash64(text) as key")
     both_kinds = stored(texts.mapInArrow(class_rows, CLASSES))
@@ -322,9 +322,10 @@ def classes(docs: DataFrame) -> DataFrame:
     order = shingle_order(both_kinds.where("token is not null").select("token", "count"))
 
     prefix = texts.mapInArrow(lambda it: prefixes(order, it), "token long, sig long, n int")
-    shared = prefix.groupBy("token").agg(F.min("sig").alias("leader"), F.max("sig").alias("last")).where("leader < last").drop("last")
-    members = stored(prefix.join(shared, "token").select("leader", "sig", "n").distinct())
-    sizes = members.groupBy("leader").agg(F.ceil(F.greatest(F.sum("n") / CHUNK, F.count("*") / CHUNK_SETS)).alias("chunks"))
+    rows = nodes.agg(F.expr(f"coalesce(sum(n - (n * {PERCENT} + 99) div 100 + 1), 0)")).first()[0]
+    shared = prefix.groupBy("token").agg(F.min("sig").alias("leader"), F.max("sig").alias("last"), F.count("*").alias("rows")).where("leader < last").drop("last")
+    members = stored(spread_join(prefix, shared, "token", "rows", total=rows).select("leader", "sig", "n").distinct())
+    sizes = stored(members.groupBy("leader").agg(F.ceil(F.greatest(F.sum("n") / CHUNK, F.count("*") / CHUNK_SETS)).alias("chunks"), F.count("*").alias("rows")))
     of_class = nodes.where("n > 0").groupBy("sig").agg(F.min(F.struct("doc_id", "key")).alias("owner"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
 
     def compared(placed: DataFrame) -> DataFrame:
@@ -338,10 +339,11 @@ def classes(docs: DataFrame) -> DataFrame:
         return stored(dealt.mapInArrow(lambda it: bucket_links(order, it), "a long, b long"))
 
     every = "transform(if(sig = leader, sequence(0L, chunks - 1), array(pmod(xxhash64(sig), chunks))), c -> string(c))"
-    links = compared(members.join(sizes, "leader").select("leader", "sig", F.expr(f"explode({every})").alias("chunk")))
+    placed = spread_join(members, sizes, "leader", "rows")
+    links = compared(placed.select("leader", "sig", F.expr(f"explode({every})").alias("chunk")))
     found = components(links, "a", "b")
 
-    split = stored(members.join(sizes.where("chunks > 1"), "leader"))
+    split = stored(spread_join(members, sizes.where("chunks > 1"), "leader", "rows").drop("rows"))
     of_sig = found.select(F.col("node").alias("sig"), F.col("root").alias("own"))
     of_leader = found.select(F.col("node").alias("leader"), F.col("root").alias("led"))
     apart = split.join(of_sig, "sig", "left").join(of_leader, "leader", "left").where("coalesce(own, sig) <> coalesce(led, leader)")
@@ -353,24 +355,41 @@ def classes(docs: DataFrame) -> DataFrame:
         those_apart = apart.join(parts, "leader").selectExpr("leader", "sig", "explode(sequence(0L, chunks - 1)) as i", f"{part} as j")
         both = all_members.unionByName(those_apart).selectExpr("leader", "sig", "concat(i, ':', j) as chunk").distinct()
         found = components(links.unionByName(compared(both)), "a", "b")
-    return nodes.join(found, nodes["sig"] == found["node"], "left").select("doc_id", "n", "sig", F.coalesce("root", "sig").alias("root"))
+    copies = nodes.groupBy("sig").agg(F.count("*").alias("rows"))
+    roots = stored(copies.join(found, F.col("sig") == F.col("node"), "left").select("sig", "rows", F.coalesce("root", "sig").alias("root")))
+    return spread_join(nodes, roots, "sig", "rows").select("doc_id", "key", "n", "sig", "root")
 
 
 def link(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable by links, for every row."""
-    rows = stored(classes(docs))
-    least = rows.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
-    both = rows.alias("r").join(least.alias("l"), F.expr("r.root = l.root and r.n > 0"), "left")
+    with scratch() as kept:
+        rows = kept(stored(classes(docs)))
+    least = stored(rows.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")))
+    both = spread_join(rows.withColumn("root", F.expr("if(n > 0, root, null)")), least, "root", "rows", "left")
     return both.selectExpr("doc_id", "n as n_shingles", "if(n > 0, least, doc_id) as component_id")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` but for those of a component with a smaller id.
+    """One row of each component of ``docs``, and all rows whose text has no words.
 
-    Rows without an id stay, and so do all rows that share a component's smallest id.
+    That is the one with the smallest id, one with an id before any without; of rows with that id the one whose
+    text has the smallest hash; of rows with that text too, any one.
     """
-    gone = link(docs).where("component_id < doc_id").select(F.col("doc_id").alias("id")).distinct()
-    return docs.alias("d").join(gone.alias("g"), F.expr("d.doc_id = g.id"), "left_anti")
+    with scratch() as kept:
+        rows = stored(classes(docs).where("n > 0"))
+        # A row for each id and text. Rows with a text have one component.
+        name = "concat(coalesce(cast(doc_id as string), ''), ':', key)"
+        texts = stored(rows.groupBy("doc_id", "key").agg(F.first("root").alias("root"), F.count("*").alias("times")))
+        best = texts.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("best"), F.count("*").alias("texts"))
+        judged = spread_join(texts, stored(best), "root", "texts").withColumn("gone", F.expr("not (doc_id <=> best.doc_id and key = best.key)"))
+        decided = kept(stored(judged.where("gone or times > 1").select(F.expr(name).alias("_name"), "times", "gone")))
+    named = docs.withColumn("_name", F.expr(name.replace("key", "xxhash64(text)")))
+    both = spread_join(named, decided.withColumnsRenamed({"times": "_times", "gone": "_gone"}), "_name", "_times", "left")
+    once = both.where("_times is null").select(*docs.columns)
+    if decided.where("not gone").isEmpty():
+        return once
+    repeated = both.where("not _gone").groupBy("_name").agg(F.first(F.struct(*docs.columns)).alias("row"))
+    return once.unionByName(repeated.select("row.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,10 +102,32 @@ def test_odd_rows_and_one_of_each_group(make):
     assert got == Counter({(5, 3, 3): 1, (3, 3, 3): 2, (None, 3, 3): 1, (7, 4, 3): 1, (8, 0, 8): 1, (9, 0, 9): 1, (None, 1, None): 1})
     kept = ngramjoin.keep_first(docs)
     assert kept.columns == docs.columns
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["3", "3", "8", "9", "None", "None"]
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["3", "8", "9", "None"]
     assert ngramjoin.link(make([])).count() == 0
 
 
+def test_one_row_of_each_group_stays(make):
+    text, other = "one two three four five six seven eight nine ten", "un deux trois quatre cinq"
+    rows = [(4, text), (2, text + " eleven"), (2, text), (None, text), (None, other), (None, other), (6, None), (6, None), (6, "")]
+    for loads in (1, 2, 3):
+        kept = ngramjoin.keep_first(make(rows * loads)).collect()
+        assert Counter((r["doc_id"], r["text"] if r["text"] == other else bool(r["text"])) for r in kept) == Counter({(2, True): 1, (None, other): 1, (6, False): 3 * loads})
+    assert ngramjoin.keep_first(make([])).count() == 0
+
+
+def test_a_table_loaded_twice(spark):
+    docs = common.documents(spark, "/root/testdata/sf0.001")
+    once = sorted(map(tuple, ngramjoin.keep_first(docs).collect()))
+    assert sorted(map(tuple, ngramjoin.keep_first(docs.unionByName(docs)).collect())) == once
+
+
+def test_a_star_of_very_many_links(spark, monkeypatch):
+    monkeypatch.setattr(common, "share", lambda total: 50)
+    links = spark.range(1, 2000).selectExpr("id + 10 as a", "5L as b").union(spark.range(3).selectExpr("id + 3000 as a", "2009L as b"))
+    got = {r["node"]: r["root"] for r in graph.components(links, "a", "b").collect()}
+    assert got == dict.fromkeys([5, *range(11, 2010), *range(3000, 3003)], 5)
+
+
 def test_components_of_a_long_path(spark):
     links = spark.range(1, 120).selectExpr("id as a", "id - 1 as b").union(spark.range(300, 303).selectExpr("id as a", "299L as b"))
     got = {r["node"]: r["root"] for r in graph.components(links, "a", "b").collect()}
