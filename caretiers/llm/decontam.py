@@ -314,9 +314,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = r"""
 WITH d AS (
-  SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i
-  FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents)),
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (
   SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
@@ -325,15 +324,14 @@ p AS (
   FROM b, LATERAL (SELECT unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i) WHERE len(w) > 0),
 l AS (SELECT DISTINCT n FROM p),
 o AS (
-  SELECT doc_id, i, n, string_agg(w, ' ') OVER (PARTITION BY doc_id, n ORDER BY i ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS g10, w
-  FROM d, (SELECT 10 AS n)),
-occ AS (SELECT doc_id, i, p.n, item_id FROM o JOIN p ON p.n = 10 AND o.g10 = p.g),
-hit AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM occ, (SELECT unnest(range(0, 10)) AS k) GROUP BY doc_id),
+  SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, l WHERE len(w) >= n)),
+occ AS (SELECT doc_id, i, n, item_id FROM o JOIN p USING (n, g)),
+hit AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM (SELECT doc_id, i, unnest(range(0, n)) AS k FROM occ) GROUP BY doc_id),
 items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names
-  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM occ) GROUP BY doc_id),
-n AS (SELECT doc_id, count(*) AS n_words FROM d GROUP BY doc_id)
-SELECT documents.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM occ) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """

@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 
+import duckdb
 import numpy as np
 
 from caretiers.llm import decontam
@@ -52,6 +53,19 @@ def test_random_documents_match_brute_force(spark, make):
     run(spark, make, texts, items)
 
 
+def test_the_sql_with_short_items():
+    rng = random.Random(8)
+    word = lambda: rng.choice(["a", "B", "the", "ñ", "9"])
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([1, 2, 3, 5, 9, 10, 11, 14, 0])] + [(20, None)]
+    docs = [(i, ", ".join(word() for _ in range(rng.randint(0, 40))) + (items[i % 9][1] or "")) for i in range(60)] + [(60, None)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    assert {r[0]: r[1:] for r in con.execute(decontam.ORACLE).fetchall()} == {i: brute(t, items) for i, t in docs}
+
+
 def test_no_items_and_no_documents(spark, make):
     run(spark, make, ["a b c", None], [(1, None), (2, "...")])
     run(spark, make, ["a b c"], [])
