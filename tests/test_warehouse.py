@@ -335,3 +335,12 @@ def test_nested_columns_of_stored_rows_run_no_job(spark, warehouse, bundle_dir):
     assert nested["None"].count() == 0
     warehouse.add_bronze(explode_entries(parse_bundles(spark.createDataFrame([("f", bundle("z", "Patient"))], "source_file string, bundle string"))), "more")
     assert warehouse.nested("Patient").count() == 5 and "birthDate" in warehouse.nested("Patient").columns
+
+
+def test_counts_come_from_footers(spark, warehouse, bundle_dir):
+    found = run_bronze(warehouse, str(bundle_dir))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert text.count("PushedAggregation: [COUNT(*)]") == 3 and "resource" not in text
+    warehouse.write_all("silver", {"a": spark.range(7), "b": spark.range(0)})
+    assert counts(warehouse.summary("silver")) == {"silver.a": 7, "silver.b": 0}
+    assert counts(warehouse.summary("gold")) == {}
