@@ -207,16 +207,37 @@ def category_codings(categories: Column) -> Column:
     return F.flatten(F.transform(categories, of_category))
 
 
-def _component_row(component: Column, index: Column) -> Column:
+def _component_columns(component: Column, index: Column) -> dict[str, Column]:
     coding = fhir.extract_first_coding(component.code)
-    columns = {
+    return {
         "component_index": index.cast("long"),
         "code_text": fhir.extract_code_text(component.code),
         "code_system": coding.system,
         "code_code": coding.code,
         "code_display": coding.display,
     } | value_columns(lambda name: component[name])
-    return F.struct(*[column.alias(name) for name, column in columns.items()])
+
+
+def _component_row(component: Column, index: Column) -> Column:
+    return F.struct(*[column.alias(name) for name, column in _component_columns(component, index).items()])
+
+
+def flatten_components(bronze: DataFrame | TypedDataFrame) -> DataFrame:
+    """A row for each component of an observation, with the observation's id: the rows of ``components``.
+
+    Components become rows before their columns are made, so that these are generated code and no lambda, which
+    would be interpreted.
+    """
+    fields = _read_fields(bronze, {"id": ("id", "string"), "component": ("component", f"array<{_COMPONENT}>")}, False)
+    # The outer form, because the optimiser filters on the array before a plain explode, and would read it twice.
+    rows = fields.select("id", F.posexplode_outer(F.array_compact("component")).alias("component_index", "component"))
+    return rows.where("component IS NOT NULL").select("id", *_columns_of_components())
+
+
+@cache
+def _columns_of_components() -> tuple[Column, ...]:
+    columns = _component_columns(F.col("component"), F.col("component_index"))
+    return tuple(column.alias(name) for name, column in columns.items())
 
 
 def flatten_observation(bronze: DataFrame | TypedDataFrame, at_once: bool = False) -> DataFrame:

@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from caretiers.contracts import Condition, Observation, Patient
-from caretiers.operators.flatten import flatten_condition, flatten_observation, flatten_patient
+from caretiers.operators.flatten import flatten_components, flatten_condition, flatten_observation, flatten_patient
 from caretiers.operators.validation import validate_condition, validate_observation, validate_patient
 
 SPIROMETRY = {
@@ -251,3 +251,13 @@ def test_rows_are_never_dropped(resources):
     frame = validate_patient(flatten_patient(resources("{}", "[]", '"text"', '{"id":"p"}')))
     assert frame.count() == 4
     assert frame.where(F.size("validation_errors") > 0).count() == 4
+
+
+def test_components_as_rows_equal_those_of_the_array(resources):
+    odd = [None, 7, "x", {}, {"valueString": "s"}, {"code": {"text": "t", "coding": [3, {"code": "c"}]}, "valueQuantity": {"value": "Infinity"}}, {"valueInteger": 3.5}, {"valueBoolean": "true"}]
+    rows = [{"resourceType": "Observation", "id": f"o{i}", "component": c} for i, c in enumerate([odd, odd[::-1], [], None, {"code": 1}, "text"])]
+    bronze = resources(*map(json.dumps, [*rows, SPIROMETRY, UNUSABLE]))
+    expected = flatten_observation(bronze).select("id", F.inline("components"))
+    found = flatten_components(bronze)
+    assert found.columns == expected.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))

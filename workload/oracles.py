@@ -264,6 +264,22 @@ entries AS (
 _YEARS_OF_ORDERS = HOLIDAYS.replace("YEARS", "SELECT DISTINCT year(o_orderdate)::INT AS y FROM orders")
 _YEARS_1994_2002 = HOLIDAYS.replace("YEARS", "SELECT y::INT AS y FROM range(1994, 2003) t(y)")
 
+_COMPONENTS = """
+SELECT o_orderkey::VARCHAR AS id, i::BIGINT AS component_index,
+  CASE WHEN i = 1 THEN o_orderpriority END AS code_text,
+  CASE WHEN i = 0 THEN 'http://loinc.org' END AS code_system,
+  CASE WHEN i = 0 THEN '8480-6' END AS code_code,
+  CASE WHEN i = 0 THEN 'Total' END AS code_display,
+  CASE WHEN i = 0 THEN 'quantity' ELSE 'string' END AS value_type,
+  CASE WHEN i = 0 THEN o_totalprice END AS value_quantity_value,
+  CASE WHEN i = 0 THEN 'EUR' END AS value_quantity_unit,
+  NULL::VARCHAR AS value_quantity_system, NULL::VARCHAR AS value_quantity_code,
+  NULL::VARCHAR AS value_codeable_concept_text, NULL::VARCHAR AS value_codeable_concept_system,
+  NULL::VARCHAR AS value_codeable_concept_code, NULL::VARCHAR AS value_codeable_concept_display,
+  CASE WHEN i = 1 THEN o_orderstatus END AS value_string,
+  NULL::BOOLEAN AS value_boolean, NULL::BIGINT AS value_integer, NULL::VARCHAR AS value_datetime
+FROM orders, (VALUES (0), (1)) t(i) WHERE o_orderkey % 9 <> 0"""
+
 ORACLES: dict[str, str] = {
     "bronze_entries": f"{_ALL_ENTRIES} SELECT * FROM entries",
     "bronze_resource_counts": f'{_ALL_ENTRIES} SELECT bronze_table, count(*) AS "rows" FROM entries GROUP BY bronze_table',
@@ -323,21 +339,8 @@ SELECT o_orderkey::VARCHAR AS id, 0::BIGINT AS category_index,
   'http://terminology.hl7.org/CodeSystem/observation-category' AS system, 'laboratory' AS code, 'Laboratory' AS display FROM orders
 UNION ALL SELECT o_orderkey::VARCHAR, 1, 'http://example.org/s', o_orderstatus, NULL FROM orders
 UNION ALL SELECT o_orderkey::VARCHAR, 1, NULL, 'extra', NULL FROM orders""",
-    "components_unnest": """
-SELECT o_orderkey::VARCHAR AS id, i::BIGINT AS component_index,
-  CASE WHEN i = 1 THEN o_orderpriority END AS code_text,
-  CASE WHEN i = 0 THEN 'http://loinc.org' END AS code_system,
-  CASE WHEN i = 0 THEN '8480-6' END AS code_code,
-  CASE WHEN i = 0 THEN 'Total' END AS code_display,
-  CASE WHEN i = 0 THEN 'quantity' ELSE 'string' END AS value_type,
-  CASE WHEN i = 0 THEN o_totalprice END AS value_quantity_value,
-  CASE WHEN i = 0 THEN 'EUR' END AS value_quantity_unit,
-  NULL::VARCHAR AS value_quantity_system, NULL::VARCHAR AS value_quantity_code,
-  NULL::VARCHAR AS value_codeable_concept_text, NULL::VARCHAR AS value_codeable_concept_system,
-  NULL::VARCHAR AS value_codeable_concept_code, NULL::VARCHAR AS value_codeable_concept_display,
-  CASE WHEN i = 1 THEN o_orderstatus END AS value_string,
-  NULL::BOOLEAN AS value_boolean, NULL::BIGINT AS value_integer, NULL::VARCHAR AS value_datetime
-FROM orders, (VALUES (0), (1)) t(i) WHERE o_orderkey % 9 <> 0""",
+    "components_unnest": _COMPONENTS,
+    "components_inline": _COMPONENTS,
     "quantity_finite": _observed("id, CASE WHEN value_quantity_value IS NOT NULL THEN isfinite(value_quantity_value) END AS finite"),
     "valid_records": _select("id, status, subject_id", OBSERVATION, tail="WHERE len(errors) = 0"),
     "validation_summary": _select(

@@ -16,7 +16,7 @@ from caretiers.functions import booleans, dates, fhir, holidays
 from caretiers.functions.text import normalize_municipality_name
 from caretiers.operators import cleaning
 from caretiers.operators.columns import with_columns
-from caretiers.operators.flatten import flatten_condition, flatten_observation, flatten_patient
+from caretiers.operators.flatten import flatten_components, flatten_condition, flatten_observation, flatten_patient
 from caretiers.operators.validation import is_finite, validate_condition, validate_observation, validate_patient
 from caretiers.plans import codes, gold, pipeline, reports
 from caretiers.sources import bundles, files, parquet, tables
@@ -247,6 +247,11 @@ def category_codings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def components_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten_components(_bronze_observations(spark, sf_dir))
+
+
+@query
+def components_inline(spark: SparkSession, sf_dir: str) -> DataFrame:
     observations = flatten_observation(_bronze_observations(spark, sf_dir))
     return observations.select("id", F.inline("components"))
 
