@@ -63,11 +63,16 @@ def minhashes(hashes: str) -> str:
 def template_table(spark: SparkSession, templates: dict[str, str] | DataFrame) -> DataFrame:
     """``name``, its distinct shingles and their MinHashes; as many rows as templates."""
     if isinstance(templates, dict):
-        templates = spark.createDataFrame(sorted(templates.items()), "name string, text string")
+        rows = ", ".join(f"struct({literal(name)} as name, {literal(text)} as text)" for name, text in sorted(templates.items()))
+        templates = spark.range(1).selectExpr(f"inline(array({rows}))")
     shingled = templates.selectExpr("name", f"array_distinct({shingles("coalesce(text, '')")}) as wanted").where("size(wanted) > 0")
     return stored(shingled.selectExpr("name", "wanted", f"{minhashes('wanted')} as bands"))
 
 
+def literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | DataFrame = TEMPLATES) -> DataFrame:
     """``doc_id``, ``n_licenses`` and ``licenses``, the sorted names joined by commas, for every row."""
     table = template_table(docs.sparkSession, templates)
