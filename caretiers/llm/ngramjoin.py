@@ -383,13 +383,14 @@ def keep_first(docs: DataFrame) -> DataFrame:
         best = texts.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("best"), F.count("*").alias("texts"))
         judged = spread_join(texts, stored(best), "root", "texts").withColumn("gone", F.expr("not (doc_id <=> best.doc_id and key = best.key)"))
         decided = kept(stored(judged.where("gone or times > 1").select(F.expr(name).alias("_name"), "times", "gone")))
-    named = docs.withColumn("_name", F.expr(name.replace("key", "xxhash64(text)")))
-    both = spread_join(named, decided.withColumnsRenamed({"times": "_times", "gone": "_gone"}), "_name", "_times", "left")
-    once = both.where("_times is null").select(*docs.columns)
+    # As one column, the columns of ``docs`` may have any names.
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.expr(name.replace("key", "xxhash64(text)")).alias("_name"))
+    both = spread_join(named, decided, "_name", "times", "left")
+    once = both.where("times is null").select("doc.*")
     if decided.where("not gone").isEmpty():
         return once
-    repeated = both.where("not _gone").groupBy("_name").agg(F.first(F.struct(*docs.columns)).alias("row"))
-    return once.unionByName(repeated.select("row.*"))
+    repeated = both.where("not gone").groupBy("_name").agg(F.first("doc").alias("doc"))
+    return once.unionByName(repeated.select("doc.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,7 +97,7 @@ def test_bitmap_lets_every_wanted_text_through(spark):
 
 def test_odd_rows_and_one_of_each_group(make):
     text = "one two three four five six seven"
-    docs = make([(5, text), (3, text), (None, text), (7, text + " eight"), (3, text), (8, None), (9, ""), (None, "alone")]).selectExpr("*", "1 as n", "2 as sig", "3 as id")
+    docs = make([(5, text), (3, text), (None, text), (7, text + " eight"), (3, text), (8, None), (9, ""), (None, "alone")]).selectExpr("*", "1 as n", "2 as sig", "3 as id", "4 as _copy", "5 as _name", "6 as times", "7 as gone", "8 as `a.b`", "9 as key")
     got = Counter(tuple(r) for r in ngramjoin.link(docs).collect())
     assert got == Counter({(5, 3, 3): 1, (3, 3, 3): 2, (None, 3, 3): 1, (7, 4, 3): 1, (8, 0, 8): 1, (9, 0, 9): 1, (None, 1, None): 1})
     kept = ngramjoin.keep_first(docs)
