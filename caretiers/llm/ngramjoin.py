@@ -304,13 +304,22 @@ def shingle_order(counted: DataFrame):
     return counted.sparkSession.sparkContext.broadcast(order)
 
 
+def maybe_among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``rows`` with ``_maybe``, false where the number in the column ``key`` is certainly not among those of ``keys``.
+
+    A bitmap of fixed size is broadcast for that; rows don't move.
+    """
+    place = f"pmod({key}, {WANTED_BITS}L)"
+    maps = keys.groupBy(F.expr(f"bitmap_bucket_number({place})").alias("_bucket")).agg(F.expr(f"bitmap_construct_agg(bitmap_bit_position({place}))").alias("_bits"))
+    both = rows.join(F.broadcast(maps), F.expr(f"bitmap_bucket_number({place}) = _bucket"), "left")
+    byte = f"cast(conv(hex(substring(_bits, cast(bitmap_bit_position({place}) div 8 as int) + 1, 1)), 16, 10) as int)"
+    maybe = F.expr(f"coalesce(getbit({byte}, cast(bitmap_bit_position({place}) % 8 as int)) = 1, false)")
+    return both.withColumn("_maybe", maybe).drop("_bucket", "_bits")
+
+
 def maybe_wanted(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows of ``texts`` whose key may be among ``keys``, by a bitmap of fixed size that is broadcast."""
-    place = f"pmod(key, {WANTED_BITS}L)"
-    maps = keys.groupBy(F.expr(f"bitmap_bucket_number({place})").alias("bucket")).agg(F.expr(f"bitmap_construct_agg(bitmap_bit_position({place}))").alias("bits"))
-    both = texts.join(F.broadcast(maps), F.expr(f"bitmap_bucket_number({place}) = bucket"))
-    byte = f"cast(conv(hex(substring(bits, cast(bitmap_bit_position({place}) div 8 as int) + 1, 1)), 16, 10) as int)"
-    return both.where(f"getbit({byte}, cast(bitmap_bit_position({place}) % 8 as int)) = 1").select("doc_id", "key", "text")
+    """The rows of ``texts`` whose key may be among ``keys``."""
+    return maybe_among(texts, keys, "key").where("_maybe").select("doc_id", "key", "text")
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -383,10 +392,12 @@ def keep_first(docs: DataFrame) -> DataFrame:
         best = texts.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("best"), F.count("*").alias("texts"))
         judged = spread_join(texts, stored(best), "root", "texts").withColumn("gone", F.expr("not (doc_id <=> best.doc_id and key = best.key)"))
         decided = kept(stored(judged.where("gone or times > 1").select(F.expr(name).alias("_name"), "times", "gone")))
-    # As one column, the columns of ``docs`` may have any names.
+    # As one column, the columns of ``docs`` may have any names. Only rows that may be decided on are moved.
     named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.expr(name.replace("key", "xxhash64(text)")).alias("_name"))
-    both = spread_join(named, decided, "_name", "times", "left")
-    once = both.where("times is null").select("doc.*")
+    hashed = named.withColumn("_key", F.xxhash64("_name"))
+    marked = maybe_among(hashed, decided.select(F.xxhash64("_name").alias("_key")), "_key")
+    both = spread_join(marked.where("_maybe"), decided, "_name", "times", "left")
+    once = marked.where("not _maybe").select("doc.*").unionByName(both.where("times is null").select("doc.*"))
     if decided.where("not gone").isEmpty():
         return once
     repeated = both.where("not gone").groupBy("_name").agg(F.first("doc").alias("doc"))
