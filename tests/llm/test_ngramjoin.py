@@ -78,6 +78,27 @@ def test_similarity_just_at_the_bound(make):
     compare(make, texts)
 
 
+def test_a_shingle_in_very_many_rows_is_dealt_in_parts(make, monkeypatch):
+    monkeypatch.setattr(ngramjoin, "share", lambda total: 20)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    texts = [edited(rng, words, rng.randint(0, 3)) for _ in range(150)] + [edited(rng, words[:30], rng.randint(0, 2)) for _ in range(40)]
+    texts += [" ".join(f"u{rng.random()}" for _ in range(20)) for _ in range(30)]
+    compare(make, texts)
+
+
+def test_first_shingles_are_moved_once(make, monkeypatch):
+    plans = []
+
+    def stored(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return common.stored(df)
+
+    monkeypatch.setattr(ngramjoin, "stored", stored)
+    compare(make, ["one two three four five six seven", "one two three four five six", "alone"])
+    assert len(re.findall(r"MapInArrow .*\[token#\d+L, sig#\d+L, n#\d+\]", "\n".join(plans))) == 1
+
+
 def test_the_tables_documents(spark):
     docs = common.documents(spark, "/root/testdata/sf0.001").collect()
     texts = {r["doc_id"]: r["text"] for r in docs}
