@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from caretiers.llm import common, packing, tokenfiles
-from caretiers.llm.encoding import Encoder
+from caretiers.llm.encoding import Encoder, _Words
 
 SF = "/root/testdata/sf0.001"
 PIECES = [" ", "  ", "\n", "\n ", " \n", "é", " ", "　", "\x1c", "\x85", "a", "The", "word", ".", ",", "'s", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "12", "\t", "ß", "İ", "Σ", "̈", "中文", "\r", "😀"]
@@ -32,6 +32,20 @@ def test_cut_texts_have_the_ids_of_whole_texts(name):
         assert encoder.encode(text) == ids[:-1].tobytes(), text
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_symbols_behind_words_are_pieces_of_their_own(name, monkeypatch):
+    rng, asked, ids_of = random.Random(2), [], _Words.ids
+    monkeypatch.setattr(_Words, "ids", lambda self, text: asked.append(text) or ids_of(self, text))
+    words = ["".join(rng.choice("abcdeéß") for _ in range(8)) + rng.choice(["$$$", "!!", ".###", ",***", "?", "&&&"]) for _ in range(300)]
+    texts = [" ".join(words), "".join(words), "\n".join(words), "!! a!! !!a ... 7%%% É*** İ!! it's,'s!"]
+    encoder = Encoder(name)
+    for text, ids in zip(texts[:1], whole(name, texts[:1], 0), strict=True):
+        assert encoder.encode(text) == ids[:-1].tobytes()
+    assert len(asked) < 30
+    for text, ids in zip(texts, whole(name, texts, 0), strict=True):
+        assert encoder.encode(text) == ids[:-1].tobytes(), text
+
+
 def test_token_files_round_trip(spark):
     docs = common.documents(spark, SF)
     rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
