@@ -6,7 +6,7 @@ import re
 import uuid
 from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 #: Characters with a meaning in path patterns.
@@ -42,6 +42,25 @@ def directories(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in system.listStatus(name) if status.isDirectory())
 
 
+def sizes(spark: SparkSession, path: str, ending: str) -> list[int]:
+    """Bytes of each file in a directory whose name ends so."""
+    system, name = _at(spark, path)
+    return [status.getLen() for status in system.listStatus(name) if status.isFile() and status.getPath().getName().endswith(ending)]
+
+
+def bytes_of(spark: SparkSession, text: str) -> int:
+    """A setting's size, such as ``64MB``, in bytes."""
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+
+
+def tasks_reading(df: DataFrame) -> int:
+    """The tasks that make the rows straight from what they read; 0 if there is an exchange in the plan. Nothing is run."""
+    execution = df._jdf.queryExecution()
+    if execution.executedPlan().nodeName() == "AdaptiveSparkPlan":
+        return 0
+    return execution.toRdd().getNumPartitions()
+
+
 def escaped(path: str) -> str:
     """The path as a pattern that matches it alone."""
     return _PATTERN.sub(r"\\\g<0>", path)

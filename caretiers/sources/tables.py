@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import math
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -19,6 +21,21 @@ from caretiers.typed import TypedDataFrame, plain
 #: Of each layer, which directories are its tables' rows. Files with such names are not read as data.
 MANIFEST = "_manifest.json"
 
+#: Codec of the stored files.
+COMPRESSION = "zstd"
+
+#: Types whose files a task writes side by side; it sorts the rows of further ones.
+TYPES_AT_ONCE = 16
+
+#: A type whose files are smaller on average than this part of the advisory partition size is packed into fewer.
+SMALL_FILE = 1 / 16
+
+#: The part of that size which a packed file has.
+PACKED_FILE = 1 / 4
+
+#: Ends the name of a load's directory that holds its packed types.
+PACKED = ".packed"
+
 
 def quote(*parts: str) -> str:
     """Quoted, dotted SQL name."""
@@ -74,6 +91,17 @@ def count_rows(spark: SparkSession, tables: Mapping[str, Sequence[str]], schema:
     return reduce(DataFrame.unionByName, counts).groupBy("table").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """The session's setting while the block runs."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def largest_first(summary: DataFrame) -> DataFrame:
     return summary.orderBy(F.desc("rows"), "table")
 
@@ -128,7 +156,7 @@ class Warehouse:
         """Create the table or replace it, schema included. ``df`` may be made of the table's own rows."""
         self._own_name(schema, table)
         place = f"{table}/version={uuid.uuid4().hex}"
-        plain(df).write.parquet(f"{self.path(schema)}/{place}")
+        plain(df).write.parquet(f"{self.path(schema)}/{place}", compression=COMPRESSION)
         self._commit(schema, {table: [place]})
 
     def write_all(self, schema: str, frames: Mapping[str, DataFrame | TypedDataFrame]) -> None:
@@ -161,7 +189,7 @@ class Warehouse:
         A load that is already there is not added again, so a load may be repeated after a failure.
         """
         before = self.manifest(Schema.BRONZE)
-        if any(place.startswith(f"load={load}/") for places in before.values() for place in places):
+        if any(place.startswith((f"load={load}/", f"load={load}{PACKED}/")) for places in before.values() for place in places):
             return
         added, schemas = self._load(entries, load)
         self._commit(Schema.BRONZE, {table: [*before.get(table, []), place] for table, place in added.items()}, schemas)
@@ -178,22 +206,48 @@ class Warehouse:
 
         Schemas are merged while the rows go by on their way to the files.
 
-        The rows are rebalanced by type on their real sizes, so a type that holds most rows is
-        spread over many tasks and a rare one does not leave a small file per task. That is adaptive
-        execution's work and needs it.
+        Tasks write the rows they have read, a file for each type among them, so a load needs no disk beside its
+        tables, and a type that holds most rows is written by many tasks. Types of small files are packed then, so a
+        rare one does not keep a file per task. Where fewer tasks read than there are cores (a large file that cannot
+        be split is one), and for other plans than a read, rows are rebalanced by type on their real sizes first, so
+        that types are written by different tasks. That is adaptive execution's work and needs it.
         """
+        spark = entries.sparkSession
         if self.spark.conf.get("spark.sql.adaptive.enabled") != "true":
             raise ValueError("writing bronze needs spark.sql.adaptive.enabled, or one task would write all rows of a type")
         path = f"{self.path(Schema.BRONZE)}/load={load}"
         seen = Observation()
         rows = entries.observe(seen, schema_of_types().alias("types"))
-        rows.hint("rebalance", "bronze_table").write.partitionBy("bronze_table").mode("overwrite").parquet(path)
+        if files.tasks_reading(entries) < spark.sparkContext.defaultParallelism:
+            rows = rows.hint("rebalance", "bronze_table")
+        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(TYPES_AT_ONCE)):
+            rows.write.partitionBy("bronze_table").mode("overwrite").parquet(path, compression=COMPRESSION)
         start = "bronze_table="
         names = [name for name in files.directories(self.spark, path) if name.startswith(start)]
         places = {name.removeprefix(start): f"load={load}/{name}" for name in names}
         schemas = schemas_by_type(seen.get["types"]) if places else {}
+        places |= self._packed(load, places)
         return places, {place: schemas[table] for table, place in places.items()}
 
+    def _packed(self, load: str, places: Mapping[str, str]) -> dict[str, str]:
+        """Write the types whose files are small as fewer files; gives their new directories.
+
+        One job without a shuffle: a task reads files of one type. The files it has read go with the commit.
+        """
+        advisory = files.bytes_of(self.spark, self.spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
+        root, small = self.path(Schema.BRONZE), []
+        for table, place in places.items():
+            sizes = files.sizes(self.spark, f"{root}/{place}", ".parquet")
+            if len(sizes) > 1 and sum(sizes) < SMALL_FILE * advisory * len(sizes):
+                rows = self.spark.read.schema(BRONZE).parquet(f"{root}/{place}").coalesce(math.ceil(sum(sizes) / (PACKED_FILE * advisory)))
+                small.append((table, rows.withColumn("bronze_table", F.lit(table))))
+        if not small:
+            return {}
+        rows = reduce(DataFrame.unionByName, [rows for _, rows in small])
+        with setting(self.spark, "spark.sql.maxConcurrentOutputFileWriters", str(TYPES_AT_ONCE)):
+            rows.write.partitionBy("bronze_table").mode("overwrite").parquet(f"{root}/load={load}{PACKED}", compression=COMPRESSION)
+        return {table: f"load={load}{PACKED}/bronze_table={table}" for table, _ in small}
+
     def bronze(self, resource_type: str) -> DataFrame:
         """Bronze rows of one type; no rows if there is no such table."""
         name = table_name_of(resource_type)
