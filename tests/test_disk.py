@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from caretiers.plans.pipeline import run_bronze
+from caretiers.plans.pipeline import run_bronze, run_bronze_new
 from caretiers.sources import files
 from caretiers.sources.tables import Warehouse
 from workload import queries
@@ -75,6 +75,32 @@ def test_a_load_needs_no_disk_beside_its_tables(spark, warehouse, tmp_path, task
     assert {row["rows"] for row in spark.sql("SELECT count(*) AS rows FROM disk_bronze.rare").collect()} == {12}
 
 
+def test_files_that_are_added_need_no_disk_beside_the_tables(spark, warehouse, tmp_path, tasks_of_a_file):
+    source = tmp_path / "in"
+
+    def add():
+        run_bronze_new(warehouse, str(source), lines=True, names="*.ndjson")
+
+    for k in (1, 2):
+        write_bundles(source, 8)
+        assert shuffles(spark, add) == 0
+        assert counts(warehouse.summary("bronze")) == {"bronze.patient": k * 8 * 180, "bronze.rare": k * 8}
+    add()
+    assert len(parts(warehouse, "rare")) == 2  # of two loads
+    assert counts(warehouse.summary("bronze")) == {"bronze.patient": 16 * 180, "bronze.rare": 16}
+
+
+def test_a_load_of_packed_types_only_is_added_once(spark, warehouse, tmp_path, tasks_of_a_file):
+    source = tmp_path / "in"
+    write_bundles(source, 12)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    for _ in range(2):
+        warehouse.add_bronze(queries.bundles.load_bronze_bundles(spark, str(source), True, names="*.ndjson"), "one")
+        assert all(place.startswith("load=one.packed/") for places in warehouse.manifest("bronze").values() for place in places)
+        assert counts(warehouse.summary("bronze")) == {"bronze.patient": 12 * 180, "bronze.rare": 12}
+    assert all(len(parts(warehouse, name)) == 1 for name in ("patient", "rare"))
+
+
 def test_rows_of_few_tasks_are_dealt_by_type(spark, warehouse, tmp_path):
     """A file that cannot be split is read by one task, but written by one for each type."""
     source = tmp_path / "in"
