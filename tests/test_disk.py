@@ -2,6 +2,7 @@
 
 import json
 import os
+import uuid
 
 import pytest
 
@@ -10,6 +11,7 @@ from caretiers.sources import files
 from caretiers.sources.tables import Warehouse
 from workload import queries
 from workload.bundles import condition_bundles, observation_bundles, patient_bundles
+from workload.check import differences
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -118,3 +120,18 @@ def test_bundles_of_the_tables_are_stored_compressed(spark, tmp_path):
     stored = sum(p.stat().st_size for p in (tmp_path / "in").glob("*.gz"))
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "in")).collect()) == sorted(texts)
     assert 0 < stored < sum(map(len, texts)) / 5
+
+
+@pytest.mark.parametrize("name", ["stored_silver_condition"])
+def test_imported_bundles_make_room_for_tables(spark, tmp_path, monkeypatch, name):
+    """The bundles' files are gone when the tables made of them are written and read; their rows are all there."""
+    folder = tmp_path / uuid.uuid4().hex
+    monkeypatch.setattr(queries, "_new_folder", lambda spark: str(folder))
+    queries._imported.cache_clear()
+    try:
+        assert differences(spark, name, SF_DIR) == []
+        assert os.listdir(folder) == ["db"]
+        stored = [p for p in folder.rglob("*.parquet") if p.is_file()]
+        assert stored and all(p.name.endswith(".zstd.parquet") for p in stored)
+    finally:
+        queries._imported.cache_clear()

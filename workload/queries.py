@@ -377,11 +377,15 @@ def _warehouse(spark: SparkSession, folder: str) -> tables.Warehouse:
 
 @cache
 def _imported(spark: SparkSession, sf_dir: str) -> tables.Warehouse:
-    """The tables of all bundles, imported from files; once a session, since the tables do not change."""
+    """The tables of all bundles, imported from files; once a session, since the tables do not change.
+
+    The files go when they are imported: nothing reads them again, and the queries store more tables.
+    """
     folder = _new_folder(spark)
     _write_lines(spark, sf_dir, f"{folder}/in", patient_bundles, observation_bundles, condition_bundles)
     warehouse = _warehouse(spark, folder)
     pipeline.run_bronze(warehouse, f"{folder}/in", lines=True, names=LINES)
+    files.delete(spark, f"{folder}/in")
     return warehouse
 
 
