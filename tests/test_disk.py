@@ -122,7 +122,7 @@ def test_bundles_of_the_tables_are_stored_compressed(spark, tmp_path):
     assert 0 < stored < sum(map(len, texts)) / 5
 
 
-@pytest.mark.parametrize("name", ["stored_gold", "stored_silver_condition"])
+@pytest.mark.parametrize("name", ["stored_gold", "stored_observation_report", "stored_silver_condition"])
 def test_imported_bundles_make_room_for_tables(spark, tmp_path, monkeypatch, name):
     """The bundles' files are gone when the tables made of them are written and read; their rows are all there."""
     folder = tmp_path / uuid.uuid4().hex
